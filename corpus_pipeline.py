@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ridgeline.llm.common import fresh_path, table
 from ridgeline.llm.exact_dedup import deduplicated
 from ridgeline.llm.mixing import mixed_documents
+from ridgeline.llm.ngram_join import one_of_each_group
+from ridgeline.llm.quality import good_documents
 from ridgeline.llm.tokens import encoded
 
 STAGES = [
+    ("quality", good_documents),
     ("exact dedup", deduplicated),
+    ("n-gram join", one_of_each_group),
     ("mixing", mixed_documents),
     ("byte BPE", encoded),
 ]

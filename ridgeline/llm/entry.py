@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 from .exact_dedup import EXACT_DEDUP_SQL, op6_exact_dedup
+from .fingerprints import op7_fingerprints
 from .mixing import MIX_SQL, op9_mixing
+from .ngram_join import op5_ngram_join
+from .quality import op8_quality
 from .sharding import op10_sharding
+from .substrings import op2_substring_dedup
 from .tokens import op1_token_counts, op3_byte_bpe
+from .warc import WARC_SQL, op4_warc
 
 
 def queries() -> dict:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_byte_bpe": op3_byte_bpe,
+        "op4_warc": op4_warc,
+        "op5_ngram_join": op5_ngram_join,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_fingerprints": op7_fingerprints,
+        "op8_quality": op8_quality,
         "op9_mixing": op9_mixing,
         "op10_sharding": op10_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": EXACT_DEDUP_SQL, "op9_mixing": MIX_SQL}
+    return {"op4_warc": WARC_SQL, "op6_exact_dedup": EXACT_DEDUP_SQL, "op9_mixing": MIX_SQL}
