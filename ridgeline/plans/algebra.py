@@ -266,6 +266,6 @@ class SqlBackend(Backend):
                 return f"list_avg(list_filter(list({args[0]}) OVER {spec}, lambda v: v {sign} {args[1]}))"
             case "peak_to_trough":
                 values = f"list_filter(list({args[0]}) OVER {spec}, lambda v: v IS NOT NULL)"
-                rest = f"list_slice({values}, list_position({values}, list_max({values})), NULL)"
+                rest = f"list_slice({values}, list_position({values}, list_max({values})), len({values}))"
                 return f"(CASE WHEN list_max({values}) <> 0 THEN list_min({rest}) / list_max({values}) END - 1)"
         return f"{agg}({', '.join(args)}) OVER {spec}"
