@@ -22,14 +22,14 @@ def next_return(c, price, lookback):
 
 @primitive("sma_rsi")
 def sma_rsi(c, x, window, delta=0):
-    """1 - 1 / (1 + mean gain / mean loss) over the window, or its change over ``delta`` rows."""
+    """1 - 1 / (1 + mean gain / mean loss) over the window (1 without losses), or its change over ``delta`` rows."""
     b = c.b
     x = b.flat(x)
     move = b.put(x - b.lag(x, 1))
     gain = b.put(b.where(b.call("present", move), b.call("greatest", move, 0.0)))
     loss = b.put(b.where(b.call("present", move), b.call("greatest", -move, 0.0)))
     up, down = b.rolling("avg", gain, window=window), b.rolling("avg", loss, window=window)
-    out = 1.0 - b.div(b.lit(1.0), b.div(up, down) + 1.0)
+    out = b.div(up, up + down)  # the same, and 1 where nothing fell
     if delta:
         out = b.put(out)
         out = out - b.lag(out, delta)

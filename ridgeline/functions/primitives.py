@@ -219,7 +219,7 @@ def _regression(c, x, window, min_periods, stat: str) -> Val:
     left = syy - b.div(sxy * sxy, sxx)
     if stat == "r2":
         return b.where(syy > 0.0, 1.0 - b.div(left, syy))
-    spread = b.where(n > 2.0, b.call("sqrt", b.div(b.call("greatest", left, 0.0), n - 2.0)))
+    spread = b.where(n > 2.0, b.call("sqrt", b.div(b.most(left, b.lit(0.0)), n - 2.0)))
     if stat == "resid_std":
         return spread
     error = b.div(spread, b.call("sqrt", sxx))
@@ -262,11 +262,13 @@ def ts_beta_to_market(c, price, window, market_symbol="SPY", eps=EPS):
     price = b.flat(price)
     step = b.put(c.calendar - b.lag(c.calendar, 1))
     own = b.put(b.where(step.equals(1.0) & b.call("present", market), b.div(price, b.lag(price, 1)) - 1.0))
-    # Rows of dates without a benchmark take no part: windows are counted on those with one.
+    # Rows of dates without a benchmark take no part: windows count the rows of the others.
+    shared = b.put(b.call("present", place))
     pairs = b.put(b.where(b.call("present", own), market))
-    whole = (place - b.lag(place, window - 1)).equals(float(window - 1)) & b.over("count", pairs, n=window).equals(float(window))
-    spread = b.put(b.over("var_samp", pairs, n=window))
-    return b.where(whole & (b.call("abs", spread) > eps), b.div(b.over("covar_samp", own, pairs, n=window), spread))
+    before = b.over("lag", place, k=window - 1, also=shared)
+    whole = (place - before).equals(float(window - 1)) & b.over("count", pairs, n=window, also=shared).equals(float(window))
+    spread = b.put(b.over("var_samp", pairs, n=window, also=shared))
+    return b.where(whole & (b.call("abs", spread) > eps), b.div(b.over("covar_samp", own, pairs, n=window, also=shared), spread))
 
 
 # Posts

@@ -125,12 +125,12 @@ class Backend:
                 found = there if found is None else found & there
         return found
 
-    def over(self, agg: str, *args: Any, n: int | None = None, by: str = "row", k: int = 0, ahead: int | None = None) -> Val:
+    def over(self, agg: str, *args: Any, n: int | None = None, by: str = "row", k: int = 0, ahead: int | None = None, also: Val | None = None) -> Val:
         """Aggregate ``agg`` over the last ``n`` rows of the symbol (None: all so far; by='date': all rows of the date;
-        by='symbol': all rows of the symbol; ahead: this row and so many after it)."""
+        by='symbol': all rows of the symbol; ahead: this row and so many after it), among rows of one value of ``also``."""
         vals = [self.flat(a) if isinstance(a, Val) else self.lit(a) for a in args]
-        stage = max([v.stage for v in vals], default=0)
-        return Val(self, self.window(agg, [v.x for v in vals], n, by, k, ahead), stage, True)
+        stage = max([v.stage for v in vals] + ([also.stage] if also else []), default=0)
+        return Val(self, self.window(agg, [v.x for v in vals], n, by, k, ahead, also and also.x), stage, True)
 
     def lag(self, x: Val, k: int) -> Val:
         return self.over("lag", x, k=k)
@@ -162,13 +162,14 @@ class SparkBackend(Backend):
         special = {"div": F.try_divide, "present": F.isnotnull, "ln": F.ln, "pow": F.pow, "coalesce": F.coalesce}
         return special.get(name, getattr(F, name, None))(*args)
 
-    def window(self, agg: str, args: list[Column], n, by: str, k: int, ahead) -> Column:
+    def window(self, agg: str, args: list[Column], n, by: str, k: int, ahead, also) -> Column:
         if by == "date":
             spec = Window.partitionBy(self.column(self.order))
         elif by == "symbol":
             spec = Window.partitionBy(self.column(self.part))
         else:
-            spec = Window.partitionBy(self.column(self.part)).orderBy(self.column(self.order))
+            keys = [self.column(self.part)] + ([] if also is None else [also])
+            spec = Window.partitionBy(*keys).orderBy(self.column(self.order))
         if agg == "lag":
             return F.lag(args[0], k).over(spec)
         if agg == "row_number":
@@ -238,9 +239,9 @@ class SqlBackend(Backend):
                 return f"(exp({args[0]}) - 1.0)"
         return f"{name}({', '.join(args)})"
 
-    def window(self, agg: str, args: list[str], n, by: str, k: int, ahead) -> str:
+    def window(self, agg: str, args: list[str], n, by: str, k: int, ahead, also) -> str:
         part, order = self.column(self.part), self.column(self.order)
-        row = f"PARTITION BY {part} ORDER BY {order}"
+        row = f"PARTITION BY {part}{'' if also is None else ', ' + also} ORDER BY {order}"
         if agg == "lag":
             return f"{'lag' if k >= 0 else 'lead'}({args[0]}, {abs(k)}) OVER ({row})"
         if agg == "row_number":
