@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import ORACLES, PANELS, QUERIES, factor_query, rounded
+from .catalog import MARKET, ORACLES, PANELS, QUERIES, factor_query, rounded
 from .functions import analytics  # noqa: F401  registers its primitives
+from .functions.compact import SAMPLE, Compact
 from .functions.families import FAMILIES, RETURN_FAMILY
 from .functions.grid import Grid, expand
 from .operators import joins, report, reshape, universe
@@ -467,4 +468,11 @@ def _analytics() -> None:
     factor_query("grid_returns", "events", expand(RETURN_FAMILY["RETURN_RATIO"], Grid({"lookback": [1, 2], "window": [10, 15]}), price_col="price"), digits=3)
 
 
+def _compact() -> None:
+    factor_query("grid_compact_kinds", "weekly", Compact().build(SAMPLE), digits=5)
+    factor_query("grid_compact_returns_ratio", "weekly", Compact().build([("mrr", 4, 12), ("mrr", 8, 20)]), digits=2)
+    factor_query("grid_compact_beta", "type", Compact(market=MARKET).build([("beta", 8), ("beta", 10)]), benchmark=True)
+
+
 _analytics()
+_compact()
