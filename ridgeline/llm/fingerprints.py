@@ -30,9 +30,9 @@ BITS = 256
 PERIOD = 4096
 SIGNS = 1 << 20
 MAIN_WEIGHT = 16
-BUFFER_CHARS = 12_000_000
+BUFFER_CHARS = 3_000_000
 BUFFER_ROWS = 4096
-ROWS_PER_PART = 65_536
+ROWS_PER_PART = 8192
 BANDS, BAND_BITS = 24, 12
 
 
