@@ -7,8 +7,8 @@ sign of a sum of shared random signs over the characters written at steps equal
 steps from the whole text; the first steps also count weakly in every bit, which settles the bits of short texts.
 The likeness of two fingerprints is the cosine that their Hamming distance stands for, 0 to 1.
 
-Near pairs come from banding: bands of sampled bits are the join key, and pairs are verified by fingerprint and then by
-banded edit distance.
+Near pairs come from banding: classes are sorted by bands of sampled bits, neighbours meet, and pairs are verified by
+fingerprint and then by banded edit distance.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ MAIN_WEIGHT = 16
 BUFFER_CHARS = 3_000_000
 BUFFER_ROWS = 4096
 ROWS_PER_PART = 8192
-BANDS, BAND_BITS = 24, 12
+BANDS, BAND_BITS, NEIGHBOURS = 24, 64, 3
 
 
 @lru_cache(1)
@@ -143,7 +143,7 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // ROWS_PER_PART))
     place = F.col("id").cast("double")
     cuts = base.select(place.alias("x")).approxQuantile("x", [k / n_parts for k in range(1, n_parts)], 0.25 / n_parts)
-    edges = [-math.inf, *sorted(set(cuts)), math.inf]
+    edges = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
     dealt = Bucketizer(splits=edges, inputCol="x", outputCol="bucket", handleInvalid="keep").transform(base.withColumn("x", place))
     last = len(edges) - 2
     dealt = dealt.select(
@@ -230,53 +230,62 @@ def edit_similarity(a: str, b: str, least: float) -> float:
     return 1 - int(row[m]) / longer if row[m] <= room else 0.0
 
 
-def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, band_bits: int = BAND_BITS) -> DataFrame:
+def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, band_bits: int = BAND_BITS, neighbours: int = NEIGHBOURS) -> DataFrame:
     """Links between near texts: ``left``, ``right``, ``likeness``, ``edit_similarity``, the latter at least ``least``.
 
-    Equal fingerprints form one class, named by its smallest id.  In each band every class meets the bucket's smallest
-    member only, so a bucket of any size gives as many candidates as it has members and none is capped.  Candidates are
-    distinct before they are verified.  Classes' further members are linked to the class's name with their own texts
-    verified.  Null and empty texts link with each other.  Rows are told apart by id; null ids are left out."""
-    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    Equal fingerprints form one class, named by its smallest id.  Each band samples bits in an order of its own; classes
+    are range-sorted by band and sampled bits, and each meets the few before it, which share the longest samples.  So
+    candidates grow with the rows whatever the size of a group, none is capped, and no key gathers in one task.  Pairs
+    are distinct, pass the fingerprints' likeness, and are verified by edit distance.  Further members of a class are
+    linked to its name, their own texts verified.  Null and empty texts link with each other.  Null ids are left out.
+    Like all banding it may miss a link: tests measure recall."""
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rng = np.random.default_rng(5)
     picks = [rng.choice(BITS, band_bits, replace=False).tolist() for _ in range(bands)]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p.hex() for p in fingerprints(batch.column(1).to_pylist())])], ["id", "print"])
-
-    marked = written(rows.mapInArrow(mark, "id bigint, print string"), "prints")
-    classes = written(marked.groupBy("print").agg(F.min("id").alias("rep")), "print-classes")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p.hex() for p in fingerprints(batch.column(1).to_pylist())], pa.string())], ["id", "print"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(band_bits)
         for batch in batches:
             prints = batch.column(1).to_pylist()
             bits = np.unpackbits(np.frombuffer(b"".join(map(bytes.fromhex, prints)), np.uint8).reshape(-1, BITS // 8), axis=1)
             for k, pick in enumerate(picks):
-                key = (bits[:, pick] * weights).sum(axis=1) + (k << band_bits)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key, pa.int64())], ["rep", "print", "key"])
+                keys = np.packbits(bits[:, pick], axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f"{k:03d}" + x.tobytes().hex() for x in keys], pa.string())], ["rep", "print", "key"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: list[tuple] = []
+        for batch in batches:
+            out = []
+            for rep, text, key in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                out += [(min(r, rep), max(r, rep)) for r, p, band in before if band == key[:3] and likeness(bytes.fromhex(p), bytes.fromhex(text)) >= least / 2]
+                before = [*before[1 - neighbours :], (rep, text, key[:3])] if neighbours > 1 else [(rep, text, key[:3])]
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(2)], ["left", "right"])
 
-    banded = written(classes.select("rep", "print").mapInArrow(cut, "rep bigint, print string, key bigint"), "bands")
-    heads = written(banded.groupBy(F.col("key").alias("k")).agg(F.min(F.struct("rep", "print")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "band-heads")
-    pairs = banded.join(heads, F.col("key") == F.col("k")).select(F.col("head.rep").alias("left"), F.col("rep").alias("right"), F.col("head.print").alias("p1"), F.col("print").alias("p2"))
-    members = marked.join(classes.withColumnRenamed("print", "pr"), F.col("print") == F.col("pr")).select(F.col("rep").alias("left"), F.col("id").alias("right"), F.col("print").alias("p1"), F.col("print").alias("p2"))
-    pairs = pairs.unionByName(members).filter("left != right").distinct()
-    texts = rows.select(F.col("id").alias("t"), "text")
-    met = pairs.join(texts.withColumnRenamed("text", "a"), F.col("left") == F.col("t")).drop("t").join(texts.withColumnRenamed("text", "b"), F.col("right") == F.col("t")).drop("t")
+    marked = written(rows.mapInArrow(mark, "id bigint, print string"), "prints")
+    classes = written(marked.groupBy("print").agg(F.min("id").alias("rep")), "print-classes")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    banded = classes.select("rep", "print").mapInArrow(cut, "rep bigint, print string, key string")
+    pairs = banded.repartitionByRange(n, "key", "rep").sortWithinPartitions("key", "rep").mapInArrow(meet, "left bigint, right bigint").distinct()
+    members = marked.join(classes.withColumnRenamed("print", "p"), F.col("print") == F.col("p")).filter("id != rep").select(F.col("rep").alias("left"), F.col("id").alias("right"))
+    pairs = written(pairs.unionByName(members), "print-pairs")
+    texts = marked.join(rows.withColumnRenamed("id", "t"), F.col("id") == F.col("t")).select("id", "print", "text")
+    sides = [texts.select(F.col("id").alias(k), F.col("print").alias(f"p{k}"), F.col("text").alias(f"t{k}")) for k in ("l", "r")]
+    met = pairs.join(sides[0], F.col("left") == F.col("l")).join(sides[1], F.col("right") == F.col("r"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = []
             for r in batch.to_pylist():
-                like = likeness(bytes.fromhex(r["p1"]), bytes.fromhex(r["p2"]))
-                if like >= least / 2:
-                    same = edit_similarity(r["a"], r["b"], least)
-                    if same >= least:
-                        got.append((r["left"], r["right"], like, same))
-            yield pa.RecordBatch.from_arrays([pa.array([g[c] for g in got], t) for c, t in enumerate([pa.int64(), pa.int64(), pa.float64(), pa.float64()])], ["left", "right", "likeness", "edit_similarity"])
-
-    return met.select("left", "right", "p1", "p2", "a", "b").mapInArrow(verify, "left bigint, right bigint, likeness double, edit_similarity double")
+                same = edit_similarity(r["tl"], r["tr"], least)
+                if same >= least:
+                    got.append((r["left"], r["right"], likeness(bytes.fromhex(r["pl"]), bytes.fromhex(r["pr"])), same))
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array([g[c] for g in got], t) for c, t in enumerate(kinds)], ["left", "right", "likeness", "edit_similarity"])
+
+    return met.select("left", "right", "pl", "pr", "tl", "tr").mapInArrow(verify, "left bigint, right bigint, likeness double, edit_similarity double")
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
