@@ -14,6 +14,7 @@ from .functions.families import FAMILIES, RETURN_FAMILY
 from .functions.grid import Grid, expand
 from .operators import joins, report, reshape, universe
 from .plans.builder import to_sql
+from .plans.chunks import build_in_chunks
 from .plans.nodes import node
 from .sources import panels, types
 
@@ -474,5 +475,14 @@ def _compact() -> None:
     factor_query("grid_compact_beta", "type", Compact(market=MARKET).build([("beta", 8), ("beta", 10)]), benchmark=True)
 
 
+def _chunks() -> None:
+    """A shared graph made in chunks of ten days gives what the whole history gives."""
+    view, sql, columns = PANELS["events"]
+    nodes = FAMILIES["return"]["RETURN_ZSCORE"](price_col="price", lookback=1, window=10) + FAMILIES["drawdown"]["MDD"](price_col="price", window=8)
+    QUERIES["builder_in_chunks"] = lambda spark, sf_dir: rounded(build_in_chunks(view(spark, sf_dir), nodes, 10), "symbol", "date")
+    ORACLES["builder_in_chunks"] = to_sql(nodes, sql, columns=columns)
+
+
 _analytics()
 _compact()
+_chunks()

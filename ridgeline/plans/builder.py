@@ -118,7 +118,8 @@ class FactorBuilder:
             if stage in kernels:
                 df = smooth(df, self.symbol, self.date, kernels[stage])
             df = b.apply(df, stage)
-        self.df, self.built = df.drop(*[c for c in df.columns if c.startswith(("__v", "__k"))]), built
+        passing = [n for made in b.stages for n in made if n not in built] + [k[0] for ks in kernels.values() for k in ks]
+        self.df, self.built = df.drop(*passing), built
 
     def build(self, nodes: list[Node]) -> DataFrame:
         """Keys and a column for every node."""

@@ -62,14 +62,25 @@ class RestReader(DataSourceReader):
                 time.sleep(max(0.0, after - time.monotonic()))
                 after = time.monotonic() + self.gap
                 try:
-                    yield ticker, info, fetch_json(url.replace("{ticker}", ticker), attempts=self.attempts, pause=self.pause), None
+                    for text in self._answers(url.replace("{ticker}", ticker)):
+                        yield ticker, info, text, None
                 except Exception as e:  # an error is an answer too
                     yield ticker, info, None, f"{type(e).__name__}: {e}"
 
+    def _answers(self, url: str) -> Iterator[str]:
+        """The answer of a URL; with {page} in it, those of pages 0, 1, ... up to the first without records."""
+        for page in range(1 << 31 if "{page}" in url else 1):
+            text = fetch_json(url.replace("{page}", str(page)), attempts=self.attempts, pause=self.pause)
+            if "{page}" in url:
+                if not json.loads(text):
+                    return
+                time.sleep(self.gap)
+            yield text
+
 
 class RestSource(DataSource):
-    """Options: tickers (comma-separated), urls (JSON: info -> URL with {ticker}), rate (requests a second in all),
-    partitions, attempts, pause."""
+    """Options: tickers (comma-separated), urls (JSON: info -> URL with {ticker}, and {page} if it has pages), rate
+    (requests a second in all), partitions, attempts, pause."""
 
     @classmethod
     def name(cls) -> str:

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.nodes import Node, in_order, merged
+from ..plans.chunks import history_rows
+from ..plans.nodes import Node
 
 
 def bars(events: DataFrame, symbol: str, time: str, value: str, width: str = "1 day", late: str = "2 days") -> DataFrame:
@@ -23,18 +24,6 @@ def bars(events: DataFrame, symbol: str, time: str, value: str, width: str = "1
     return made.select("symbol", F.col("w.start").alias("date"), "high", "low", "close", "volume")
 
 
-def history_rows(nodes: list[Node]) -> int:
-    """How many rows before a row its factors may look at: window lengths add up along the graph.  Smoothing looks back
-    without end; so does a slope that fills gaps."""
-    reach: dict[str, int] = {}
-    for n in in_order(merged(nodes)):
-        if n.op.startswith("ts_ewm") or n.op == "ts_pctslope":
-            raise ValueError(f"{n.op} needs the whole history")
-        own = max((int(n.params[k]) for k in ("window", "lookback") if k in n.params), default=0) + (n.op in ("tr", "ts_beta_to_market"))
-        reach[n.id] = own + max((reach[d] for d in n.needs), default=0)
-    return max(reach.values(), default=0)
-
-
 def refresh(batch: DataFrame, panel: DataFrame, nodes: list[Node], build: Callable[[DataFrame], DataFrame], symbol: str = "symbol", date: str = "date") -> DataFrame:
     """The factor rows that ``batch`` (rows already in ``panel``) changes: from its first date a symbol on."""
     since = batch.groupBy(symbol).agg(F.min(date).alias("__since"))

@@ -1,10 +1,13 @@
 """Identity, names, order, transforms, templates, plans."""
 
+import random
+
 import pytest
 
 from ridgeline.functions.families import FAMILIES, RETURN_FAMILY, TRUE_RANGE_EXTRAS
 from ridgeline.functions.grid import Grid, decode_key, encode_key, expand
 from ridgeline.plans.builder import FactorBuilder
+from ridgeline.plans.chunks import build_in_chunks, history_rows
 from ridgeline.plans.nodes import Label, Node, Of, column_names, in_order, merged, node
 from ridgeline.plans.transforms import add_ts_zscore, select_target, to_zscore
 
@@ -126,3 +129,18 @@ def test_invariants(small):
     assert (got["px__dd__min__w5__scale"].dropna() >= -1e-9).all()
     assert got["px__prc__z__w5__clip"].dropna().between(-5, 5).all()
     assert (got["px__trend__regr2__w5__logp"].dropna() <= 1 + 1e-9).all()
+
+
+@pytest.mark.parametrize("days", [1, 4, 7, 100])
+def test_chunks_give_the_same(spark, days):
+    import datetime as dt
+
+    rng = random.Random(days)
+    rows = [(k, dt.date(2024, 1, 1) + dt.timedelta(days=i), 10 + rng.random()) for k in (1, 2, 33) for i in range(90) if k == 1 or rng.random() < 0.6]
+    panel = spark.createDataFrame(rows, "symbol long, date date, p double")
+    nodes = FAMILIES["return"]["RETURN_ZSCORE"]("p", 2, 9) + FAMILIES["drawdown"]["MDD"]("p", 6) + FAMILIES["trend"]["REGRESSION_TREND_LOG_PRICE"]("p", 8)
+    key = lambda df: sorted(tuple(None if v is None else round(v, 7) if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert key(build_in_chunks(panel, nodes, days)) == key(FactorBuilder(panel).build_published(nodes))
+    with pytest.raises(ValueError):
+        build_in_chunks(panel, FAMILIES["rsi"]["RSI"]("p", 5), days)
+    assert history_rows(nodes) >= 11
