@@ -2,14 +2,14 @@
 
 1. Equal shingle sets form one class; only classes are joined, so copies cost nothing further.
 2. Shingles are counted in a fixed number of hash buckets over all documents.  (bucket count, hash) is a total order that
-   puts rare shingles first.  Sets that reach the threshold share a shingle among their first n - ceil(0.8 n) + 1.
+   puts rare shingles first; any total order gives the same links.  Sets that reach the threshold share a shingle among their first n - ceil(0.8 n) + 1.
 3. Postings of prefix shingles are dealt by shingle and sorted by position.  In each posting list the first entry, the one
    with the fewest rarer shingles, meets all others: candidates grow with the postings, not with their square.  Length
    and positional filters drop candidates at once; the positional bound holds at a pair's first common shingle.
-4. Candidates are distinct, pass a suffix filter (shingle counts by part of the hash space bound the difference), and are
-   verified once, exactly.  Their components are found.
-5. What is left are entries of one posting list in different components.  All such pairs that pass the filters and were
-   not verified before are verified, so no link between different texts is lost.
+4. Candidates are distinct, pass a suffix filter (shingle counts by part of the hash space bound the difference) before
+   any text moves, and are verified once, exactly.  Their components are found.
+5. What is left are entries of one posting list in different components.  All such pairs that pass the three filters
+   and were not verified before are verified, so no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -24,11 +24,15 @@ from pyspark.sql import functions as F
 
 from .common import drop_written, table, with_row_key, written
 from .components import components
-from .shingles import WordHashes, shingle_set
+from .shingles import shingle_set
 
 NGRAM = 5
 PERCENT = 80
-BUCKET_BITS = 18
+#: Buckets in which shingles are counted, and how many of them go together when counts are added up.
+BUCKET_BITS = 22
+CHUNK_BITS = 16
+PROFILE_BITS = 6
+LOW = 0xFFFFFFFF
 #: A worker skips the postings of so many sets that it has just given; copies in one task then count once.
 SEEN_SETS = 200_000
 
@@ -53,58 +57,83 @@ def passes(n1, p1, n2, p2, percent: int):
     return long_enough & (np.minimum(n1 - p1, n2 - p2) >= need)
 
 
+def profile(shingles: np.ndarray) -> bytes:
+    """How many shingles lie in each of 64 parts of the hash space, 255 at most.  Two sets differ by at least the sum of
+    the differences of their counts."""
+    counts = np.bincount((shingles >> np.uint64(64 - PROFILE_BITS)).astype(np.int64), minlength=1 << PROFILE_BITS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Suffix filter, then the exact intersection of two sorted sets."""
+    """The exact intersection of two sets reaches the threshold."""
     need = overlap_needed(len(a), len(b), percent)
-    if need > min(len(a), len(b)):
-        return False
-    parts = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
-    counts = [np.diff(np.concatenate([[0], np.searchsorted(s, parts), [len(s)]])) for s in (a, b)]
-    if len(a) + len(b) - int(np.abs(counts[0] - counts[1]).sum()) < 2 * need:
-        return False
-    return len(np.intersect1d(a, b, assume_unique=True)) >= need
+    return need <= min(len(a), len(b)) and len(np.intersect1d(a, b, assume_unique=True)) >= need
 
 
 def _sets(rows: DataFrame, ngram: int) -> DataFrame:
-    """For each row its set's size, 64-bit class and 128-bit digest; and from each task its shingle counts by bucket."""
-    names = ["row", "id", "n", "cls", "digest", "bucket", "count"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+    """For each row its set's size, 64-bit class, 128-bit digest and profile; and from each task its shingle counts, a
+    chunk of buckets a row, one byte a bucket (a task's count stops at 255, which leaves an order as good)."""
+    names = ["row", "id", "n", "cls", "digest", "profile", "chunk", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, counts = WordHashes(), np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.int32)
+
+        def add(held: list[np.ndarray]) -> None:
+            if held:
+                counts[:] += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts)).astype(np.int32)
+
         for batch in batches:
-            out, sets = [], []
+            out, held, size = [], [], 0
             for row, id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                shingles = shingle_set(_text(text), ngram, memo)
+                shingles = shingle_set(_text(text), ngram)
                 digest = xxhash.xxh3_128_digest(shingles.tobytes())
                 cls = int.from_bytes(digest[:8], signed=True) if len(shingles) else None
-                out.append((row, id_, len(shingles), cls, digest, None, None))
-                sets.append(shingles >> np.uint64(64 - BUCKET_BITS))
-                if len(sets) % 256 == 0 and sum(map(len, sets)) > 2_000_000:
-                    counts += np.bincount(np.concatenate(sets).astype(np.int64), minlength=len(counts))
-                    sets = []
-            if sets:
-                counts += np.bincount(np.concatenate(sets).astype(np.int64), minlength=len(counts))
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kinds[c]) for c in range(7)], names)
-        used = np.flatnonzero(counts)
-        if len(used):
-            none = [pa.nulls(len(used), k) for k in kinds[:5]]
-            yield pa.RecordBatch.from_arrays([*none, pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], names)
-
-    schema = "row bigint, id bigint, n bigint, cls bigint, digest binary, bucket int, count bigint"
+                out.append((row, id_, len(shingles), cls, digest, profile(shingles), None, None))
+                held.append(shingles >> np.uint64(64 - BUCKET_BITS))
+                size += len(shingles)
+                if size > 4_000_000:
+                    add(held)
+                    held, size = [], 0
+            add(held)
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kinds[c]) for c in range(8)], names)
+        chunks = np.minimum(counts, 255).astype(np.uint8).reshape(-1, 1 << CHUNK_BITS)
+        used = np.flatnonzero(chunks.any(axis=1))
+        none = [pa.nulls(len(used), k) for k in kinds[:6]]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(used, pa.int32()), pa.array([chunks[i].tobytes() for i in used], pa.binary())], names)
+
+    schema = "row bigint, id bigint, n bigint, cls bigint, digest binary, profile binary, chunk int, counts binary"
     return rows.mapInArrow(make, schema)
 
 
+def _bucket_counts(chunks: DataFrame) -> np.ndarray:
+    """The counts of all tasks, added up on the executors; the driver gets one number a bucket."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums.setdefault(chunk, np.zeros(1 << CHUNK_BITS, np.int64))[:] += np.frombuffer(_text(counts), np.uint8)
+        columns = [pa.array(list(sums), pa.int32()), pa.array([np.minimum(v, 2**31 - 1).astype(np.int32).tobytes() for v in sums.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["chunk", "counts"])
+
+    n = min(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << (BUCKET_BITS - CHUNK_BITS))
+    out = np.zeros((1 << (BUCKET_BITS - CHUNK_BITS), 1 << CHUNK_BITS), np.int32)
+    for r in chunks.repartition(n, "chunk").mapInArrow(add, "chunk int, counts binary").collect():
+        out[r.chunk] = np.frombuffer(r.counts, np.int32)
+    return out.ravel()
+
+
 def _postings(rows: DataFrame, ngram: int, percent: int, counts: np.ndarray) -> DataFrame:
     """(token, at, cls) of each set's prefix; ``at`` holds the place in the upper and the set's size in the lower half."""
-    shared = rows.sparkSession.sparkContext.broadcast(counts)  # a fixed 2^18 numbers
+    shared = rows.sparkSession.sparkContext.broadcast(counts)  # 16 MB whatever the input
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, seen, frequency = WordHashes(), set(), shared.value
+        seen, frequency = set(), shared.value
         for batch in batches:
             tokens, ats, classes = [], [], []
             for text in batch.column(0):
-                s = shingle_set(_text(text), ngram, memo)
+                s = shingle_set(_text(text), ngram)
                 n = len(s)
                 if 100 * n < percent * (n + 1):
                     continue  # so small that only an equal set reaches the threshold
@@ -129,13 +158,14 @@ def _postings(rows: DataFrame, ngram: int, percent: int, counts: np.ndarray) ->
     return rows.mapInArrow(make, "token bigint, at bigint, cls bigint")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], n_columns: int) -> Iterator[list[np.ndarray]]:
-    """Batches of whole runs of equal values in the first column."""
+def _runs(batches: Iterator[pa.RecordBatch], n_columns: int, more=None) -> Iterator[list[np.ndarray]]:
+    """Batches of whole runs of equal values in the first column: ``n_columns`` of numbers, and one that ``more`` reads."""
     carry = None
     for batch in batches:
         if not batch.num_rows:
             continue
         now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(n_columns)]
+        now += [more(batch.column(n_columns))] if more else []
         if carry is not None:
             now = [np.concatenate(x) for x in zip(carry, now)]
         cut = int(np.searchsorted(now[0], now[0][-1]))
@@ -160,7 +190,7 @@ def _shared_tokens(postings: DataFrame, percent: int) -> DataFrame:
             lengths = np.diff(np.concatenate([starts, [len(token)]]))
             head = np.repeat(starts, lengths)
             many = np.repeat(lengths, lengths) > 1
-            n, p = at & 0xFFFFFFFF, at >> 32
+            n, p = at & LOW, at >> 32
             fits = passes(n, p, n[head], p[head], percent) & (cls != cls[head])
             yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (token, at, cls, cls[head], fits)], names)
 
@@ -169,31 +199,60 @@ def _shared_tokens(postings: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(make, "token bigint, at bigint, cls bigint, head_cls bigint, candidate boolean")
 
 
+def _profiles(column: pa.Array) -> np.ndarray:
+    return np.array([np.frombuffer(p, np.uint8) for p in column.to_pylist()], np.int16).reshape(-1, 1 << PROFILE_BITS)
+
+
+def _room(n1, profile1: np.ndarray, n2, profile2: np.ndarray, percent: int):
+    """Suffix filter: whether the profiles leave room for the intersection that the pair needs."""
+    return n1 + n2 - np.abs(profile1 - profile2).sum(axis=-1) >= 2 * overlap_needed(n1, n2, percent)
+
+
 def _across(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one posting list in different components that pass the filters; entries: token, at, cls, comp."""
+    """Pairs of one posting list in different components that pass all filters; entries: token, at, cls, comp, profile."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, at, cls, comp in _runs(batches, 4):
+        for token, at, cls, comp, profiles in _runs(batches, 4, _profiles):
+            n, p = at & LOW, at >> 32
             starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            for a, b in zip(starts, [*starts[1:], len(token)]):
+            ends = np.concatenate([starts[1:], [len(token)]])
+            i = starts[ends - starts == 2]  # most lists are of two
+            i = i[(comp[i] != comp[i + 1]) & passes(n[i], p[i], n[i + 1], p[i + 1], percent)]
+            i = i[_room(n[i], profiles[i], n[i + 1], profiles[i + 1], percent)]
+            found = [(cls[i], cls[i + 1])]
+            for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
                 c = comp[a:b]
                 if (c == c[0]).all():
                     continue
-                n, p, k = at[a:b] & 0xFFFFFFFF, at[a:b] >> 32, cls[a:b]
                 names, sizes = np.unique(c, return_counts=True)
                 largest = names[sizes.argmax()]
-                outside = np.flatnonzero(c != largest)
-                for i in outside:
-                    ok = passes(n, p, n[i], p[i], percent) & (c != c[i])
-                    ok &= (c == largest) | (k > k[i])
-                    met = k[ok]
-                    if len(met):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(met, k[i])), pa.array(np.maximum(met, k[i]))], ["a", "b"])
+                for i in np.flatnonzero(c != largest) + a:
+                    ok = passes(n[a:b], p[a:b], n[i], p[i], percent) & (c != comp[i])
+                    j = np.flatnonzero(ok & ((c == largest) | (cls[a:b] > cls[i]))) + a
+                    j = j[_room(n[j], profiles[j], n[i], profiles[i], percent)]
+                    found.append((cls[j], np.full(len(j), cls[i])))
+            x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
     n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return entries.repartition(n, "token").sortWithinPartitions("token", "at", "cls").mapInArrow(make, "a bigint, b bigint")
 
 
+def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Suffix filter: the pairs (a, b) whose profiles leave room for the intersection that they need."""
+    left = classes.select(F.col("cls").alias("ca"), F.col("n").alias("na"), F.col("profile").alias("pa"))
+    right = classes.select(F.col("cls").alias("cb"), F.col("n").alias("nb"), F.col("profile").alias("pb"))
+    met = pairs.join(left, F.col("a") == F.col("ca")).drop("ca").join(right, F.col("b") == F.col("cb"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in (2, 4))
+            keep = _room(n, _profiles(batch.column(3)), m, _profiles(batch.column(5)), percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+
+    return met.select("a", "b", "na", "pa", "nb", "pb").mapInArrow(check, "a bigint, b bigint")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> DataFrame:
     """The pairs (a, b of classes) whose sets reach the threshold."""
     left = texts.select(F.col("cls").alias("ca"), F.col("text").alias("ta"))
@@ -201,14 +260,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> D
     met = pairs.join(left, F.col("a") == F.col("ca")).select("a", "b", "ta").join(right, F.col("b") == F.col("cb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, last, held = WordHashes(), None, None
+        last, held = None, None
         for batch in batches:
             keep = []
             for i in range(batch.num_rows):
                 b = batch.column(1)[i].as_py()
                 if b != last:
-                    last, held = b, shingle_set(_text(batch.column(3)[i]), ngram, memo)
-                keep.append(similar(shingle_set(_text(batch.column(2)[i]), ngram, memo), held, percent))
+                    last, held = b, shingle_set(_text(batch.column(3)[i]), ngram)
+                keep.append(similar(shingle_set(_text(batch.column(2)[i]), ngram), held, percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return met.select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
@@ -228,12 +287,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     bytes_ = F.col(text_col).cast("binary")
     both = written(_sets(base.select("__row", F.col(id_col).cast("bigint").alias("id"), bytes_.alias("text")), ngram), "sets")
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    for r in both.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("c")).collect():  # 2^18 rows at most
-        counts[r.bucket] = r.c
-    members = both.filter("bucket IS NULL").select("row", "id", "n", "cls", "digest")
+    counts = _bucket_counts(both.filter("chunk IS NOT NULL").select("chunk", "counts"))
+    members = both.filter("chunk IS NULL").select("row", "id", "n", "cls", "digest", "profile")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row")))
-    classes = members.filter("cls IS NOT NULL").groupBy("cls").agg(first.alias("first"), F.min("digest").alias("d1"), F.max("digest").alias("d2"))
+    classes = members.filter("cls IS NOT NULL").groupBy("cls").agg(first.alias("first"), F.min("digest").alias("d1"), F.max("digest").alias("d2"), F.min("profile").alias("profile"), F.min("n").alias("n"))
     classes = written(classes, "classes")
     if not classes.filter("d1 != d2").isEmpty():
         raise RuntimeError("two shingle sets share a 64-bit class")  # about 1 in 3e19 for each pair of sets
@@ -243,15 +300,17 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = written(base.select("__row", bytes_.alias("text")).join(wanted, F.col("__row") == F.col("r")).select("cls", "text"), "texts")
     pairs = lists.filter("candidate").select(F.least("cls", "head_cls").alias("a"), F.greatest("cls", "head_cls").alias("b")).distinct()
     pairs = written(pairs, "pairs")
-    links = written(_verified(pairs, texts, ngram, percent), "links")
+    close = written(_close(pairs, classes, percent), "pairs")
+    links = written(_verified(close, texts, ngram, percent), "links")
     found = written(components(links), "components")
 
-    named = lists.join(found, F.col("cls") == F.col("node"), "left").select("token", "at", "cls", F.coalesce("component", "cls").alias("comp"))
+    named = classes.join(found, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("component", "cls").alias("comp"), "profile")
+    named = lists.join(named, F.col("cls") == F.col("c")).select("token", "at", "cls", "comp", "profile")
     rest = written(_across(named, percent).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = written(_verified(rest, texts, ngram, percent), "links")
     if not more.isEmpty():
         found = written(components(links.unionByName(more)), "components")
-    for old in (lists, texts, pairs, rest):
+    for old in (lists, texts, pairs, close, rest):
         drop_written(old)
 
     grouped = classes.join(found, F.col("cls") == F.col("node"), "left").select("cls", "first", F.coalesce("component", "cls").alias("comp"))
@@ -272,4 +331,21 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates: the one with the smallest doc_id.  Documents without words stay."""
     return near_groups(docs).filter("representative").select(*docs.columns)
+
+
+#: The same by definition: all pairs that share a shingle, and the smallest id that each document reaches.
+NGRAM_JOIN_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS k FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(id, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.y, r.root FROM r JOIN e ON r.id = e.x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, g.root AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN (SELECT id, min(root) AS root FROM r GROUP BY id) g ON g.id = w.doc_id
+"""

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop_written, table, with_row_key, written
-from .shingles import WordHashes, ngram_hashes
+from .shingles import ngram_hashes, word_hashes
 
 WINDOW = 35
 ANCHOR = 7
@@ -33,11 +33,12 @@ def _text(value: pa.Scalar) -> bytes:
     return value.as_buffer().to_pybytes() if value.is_valid else b""
 
 
-def runs(words: list[bytes], memo: WordHashes, window: int, anchor: int):
+def runs(text: bytes, window: int, anchor: int):
     """Anchor hash, first window, number of windows of each run of a text."""
+    words = word_hashes(text)
     if len(words) < window:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    grams = ngram_hashes(memo.of(words), anchor, 23)
+    grams = ngram_hashes(words, anchor, 23)
     span = window - anchor + 1
     place = np.empty(len(words) - window + 1, np.int64)
     for a in range(0, len(place), 1 << 16):
@@ -49,11 +50,10 @@ def runs(words: list[bytes], memo: WordHashes, window: int, anchor: int):
 
 def _anchors(rows: DataFrame, window: int, anchor: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
             hashes, packed, ids = [], [], []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                h, start, size = runs(_text(text).split(), memo, window, anchor)
+                h, start, size = runs(_text(text), window, anchor)
                 if len(h):
                     hashes.append(h.view(np.int64))
                     packed.append((start << 8) | size)
@@ -68,10 +68,9 @@ def _extended(rows: DataFrame, window: int) -> DataFrame:
     """Each run of a repeated anchor with its windows' hashes and a digest of them; rows: row, text, runs (anchor, run)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
             for row, text, marked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                hashes = ngram_hashes(memo.of(_text(text).split()), window, 29).view(np.int64)
+                hashes = ngram_hashes(word_hashes(_text(text)), window, 29).view(np.int64)
                 fields = marked.values
                 anchors, packed = (fields.field(i).to_numpy(zero_copy_only=False) for i in range(2))
                 starts, sizes = packed >> 8, packed & 255
@@ -121,8 +120,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     documents of their own, hence repeats of each other; ids may be null or tie.  Other columns are left out.  An empty
     table gives an empty table.  ``window - anchor`` is at most 62.
     """
-    if not 1 <= anchor <= window or window - anchor > 62:
-        raise ValueError("anchor is between 1 and window, and at most 62 shorter")
+    if not 1 <= anchor <= window or window - anchor > 61:
+        raise ValueError("anchor is between 1 and window, and at most 61 shorter")
     base = with_row_key(docs.select(id_col, text_col), id_col)
     rows = base.select("__row", F.col(text_col).cast("binary").alias("text"))
     anchors = written(_anchors(rows, window, anchor), "anchors")
@@ -158,3 +157,19 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), texts=False)
+
+
+#: The same by definition: every window of every document, counted.
+SUBSTRING_SQL = r"""
+WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 34), ' ') AS k FROM w, unnest(range(1, len(ws) - 33)) AS t(i)),
+r AS (SELECT k FROM s GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT s.doc_id, s.i + j AS p FROM s JOIN r ON s.k = r.k, unnest(range(0, 35)) AS u(j)),
+words AS (SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) AS t(p)),
+done AS (
+  SELECT words.doc_id, count(*) AS n_words, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS kept
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id
+)
+SELECT w.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN done ON w.doc_id = done.doc_id
+"""
