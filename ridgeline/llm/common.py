@@ -22,11 +22,13 @@ _own_folder: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session's ``spark.checkpoint.dir`` names it.
 
-    Where it is unset (local tests) a temporary folder is made and removed at exit.
+    Where it is unset in local mode (tests) a temporary folder is made and removed at exit; on a cluster that is an error.
     """
     name = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if name:
         return name.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="ridgeline-"))
         atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)

@@ -106,7 +106,7 @@ class LabelModel:
             self.table = np.log(seen / (seen[:, :, [GOOD]] + seen[:, :, [BAD]]))
             self.table[:, :, NONE] = 0
             after = self.posterior(patterns)
-            if np.abs(after - good).max() < 1e-9:
+            if np.abs(after - good).max(initial=0) < 1e-9:
                 break
             good = after
 
@@ -213,7 +213,11 @@ class QualityModel:
 
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """``docs`` with ``posterior`` (of the label model), ``score`` (the scorer's probability of a good text) and
-        ``keep``, true from a score of one half.  Columns of the same names are replaced."""
+        ``keep``, true from a score of one half.
+
+        Null counts as empty; a text without words is bad to every labeller.  Equal texts get equal scores; ids play no
+        part here, and only break ties in the choice of training rows.  Columns of the same names are replaced; an empty
+        table gives an empty table."""
         labels, weights = self.labels, self.weights
         base = docs.drop("posterior", "score", "keep")
 
@@ -242,4 +246,5 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that a classifier fitted to ``docs`` keeps; null and empty texts go."""
     return QualityModel.fit(docs).score(docs).filter("keep").select(*DOCUMENT_COLUMNS)

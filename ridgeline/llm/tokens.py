@@ -117,4 +117,5 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every row; a document that the mix repeats has a row for each copy."""
     return encode_documents(docs, ids=False)
