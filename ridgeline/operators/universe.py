@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Limits:
-    """A row below any of these is illiquid."""
+    """A row below any of these is illiquid.  The defaults are fixed values of the rule."""
 
     market_cap: float = 2e8
     dollar_volume: float = 1e6
