@@ -63,9 +63,9 @@ def test_small_vocabulary_backtracks():
 def test_tables(spark, reference):
     rows = [(1, "Hello the world", "x"), (2, None, "y"), (3, "", None), (None, "a b", "z"), (1, "Hello the world", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
-    got = sorted(token_counts(docs, limit=2).collect(), key=str)
+    got = token_counts(docs, limit=2).collect()
     want = [(d, len((t or "").encode()), len(reference[1].encode_ordinary(t or ""))) for d, t, _ in rows]
-    assert [tuple(r)[:3] for r in got] == sorted(want, key=str) or sorted(map(str, want)) == sorted(str(tuple(r)[:3]) for r in got)
+    assert sorted(str(tuple(r)[:3]) for r in got) == sorted(map(str, want))
     assert {r.over_limit for r in got if r.doc_id == 1} == {True}
     full = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, bytes(r.decoded)) for r in encode_documents(docs).collect()}
     for d, t, _ in rows:
