@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_ascii, fresh_path, table, with_row_key, written
+from .common import drop_written, fold_ascii, fresh_path, table, with_row_key, written
 
 ROWS_PER_FILTER = 1_000_000
 
@@ -82,10 +82,8 @@ def exact_groups(
     many memtables; it changes the cost alone.
     """
     made = ["keep_id", "group_size", "kept", "text_sha256"]
-    base = with_row_key(docs.drop(*made), id_col).withColumn(
-        "__text", fold_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    )
-    base = base.withColumn("__digest", F.unhex(digest(F.col("__text"))))
+    base = with_row_key(docs.drop(*made), id_col).withColumn("__text", fold_ascii(F.coalesce(F.col(text_col), F.lit(""))))
+    base = base.withColumns({"__digest": F.unhex(digest(F.col("__text"))), "text_sha256": F.sha2("__text", 256)})
     narrow = base.select(F.col("__digest").alias("digest"), F.col(id_col).alias("id"), F.col("__row").alias("row"))
     index = DigestIndex(docs.sparkSession, keep)
     for i in range(batches):
@@ -94,12 +92,14 @@ def exact_groups(
         F.col("digest").alias("__hit"), F.col("id").alias("__id"), F.col("row").alias("__best"), F.col("n").alias("__n")
     )
     rows = base.join(hits, F.col("__digest") == F.col("__hit"), "left")
-    # Byte verification: rows that a run answers for meet the text of the row that stays.
-    asked = rows.filter("__best IS NOT NULL AND __best != __row").select("__row", "__best", F.col("__text").alias("__t1"))
-    held = rows.filter("__best = __row").select(F.col("__row").alias("__r2"), F.col("__text").alias("__t2"))
-    odd = written(
-        asked.join(held, F.col("__best") == F.col("__r2")).filter("__t1 != __t2").select("__row", "__best"), "dedup-odd"
-    )
+    # Byte verification: the rows that the index answers for fetch their texts and meet the text of the row that stays.
+    answered = narrow.join(hits, F.col("digest") == F.col("__hit")).select(F.col("row").alias("__a"), "__best")
+    texts = base.select("__row", "__text").join(written(answered, "dedup-hits"), F.col("__row") == F.col("__a"))
+    texts = written(texts.select("__row", "__best", "__text"), "dedup-texts")
+    held = texts.filter("__best = __row").select(F.col("__row").alias("__r2"), F.col("__text").alias("__t2"))
+    asked = texts.filter("__best != __row").join(held, F.col("__best") == F.col("__r2"))
+    odd = written(asked.filter("__text != __t2").select("__row", "__best"), "dedup-odd")
+    drop_written(texts)
     single = F.col("__best").isNull()
     found = rows.withColumns(
         {
@@ -110,7 +110,7 @@ def exact_groups(
     )
     if not odd.isEmpty():
         found = _settle(found, odd, id_col, keep)
-    return found.withColumn("text_sha256", F.sha2("__text", 256)).select(*docs.drop(*made).columns, *made)
+    return found.select(*docs.drop(*made).columns, *made)
 
 
 def _settle(found: DataFrame, odd: DataFrame, id_col: str, keep: str) -> DataFrame:
@@ -140,6 +140,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts: the one with the largest doc_id."""
     return exact_groups(docs).filter("kept").select(*docs.columns)
 
 
