@@ -356,6 +356,10 @@ def _groups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return report.market_features(panels.px_weekly(spark, sf_dir), REPORT_WINDOWS, z_window=30)
 
 
+def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.market_table(panels.px_weekly(spark, sf_dir), REPORT_WINDOWS, z_window=30)
+
+
 def _group_sql(names: list[str]) -> dict[str, str]:
     nodes = report.group_nodes(REPORT_WINDOWS, z_window=30)
     every = [n for g in nodes.values() for n in g]
@@ -373,7 +377,7 @@ def _group_sql(names: list[str]) -> dict[str, str]:
 
 
 _LATEST = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM ({})) WHERE rn = 1"
-_GROUP_SQL = _group_sql([*report.TREND_GROUPS, *report.RISK_GROUPS, "return_raw"])
+_GROUP_SQL = _group_sql([f"{g}_{kind}" for g in report.GROUPS for kind in ("raw", "z")])
 _RETURN_COLUMNS = [str(n.name) for n in report.group_nodes(REPORT_WINDOWS, z_window=30)["return_raw"] if n.publish]
 
 
@@ -403,13 +407,24 @@ def _score_sql() -> str:
 
 @query("report_summary_score", _score_sql())
 def report_summary_score(spark, sf_dir):
-    out = report.summary_score(_groups(spark, sf_dir), SPREAD)
+    out = report.summary_score(_table(spark, sf_dir), SPREAD)
     return out.select("symbol", *((F.round(c, 5)).alias(c) for c in out.columns if c != "symbol"))
 
 
-@query("report_snapshot")
+def _snapshot_sql() -> str:
+    parts, columns = [], []
+    for g, nodes in report.group_nodes(REPORT_WINDOWS, z_window=30).items():
+        kept = [n.name for n in nodes if n.publish and (g != "regtrend_raw" or "regbeta-rv" in n.name)]
+        shown = ", ".join(f'round("{c}", 6) + 0.0 AS "{g}: {c}"' for c in kept)
+        parts.append(f"{g} AS (SELECT symbol, {shown} FROM ({_LATEST.format(_GROUP_SQL[g])}))")
+        columns += [f'"{g}: {c}"' for c in kept]
+    first, *others = [p.split(" AS ", 1)[0] for p in parts]
+    return f"WITH {', '.join(parts)} SELECT symbol, {', '.join(columns)} FROM {first} " + " ".join(f"FULL JOIN {g} USING (symbol)" for g in others)
+
+
+@query("report_snapshot", _snapshot_sql())
 def report_snapshot(spark, sf_dir):
-    return report.snapshot(_groups(spark, sf_dir), only={"regtrend_raw": "regbeta-rv"})
+    return report.snapshot(_table(spark, sf_dir), only={"regtrend_raw": "regbeta-rv"})
 
 
 _WIDE_ROWS = f"SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM ({panels.PX_WEEKLY})"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.families import MDD_FAMILY, RAWPRICE_FAMILY, RETURN_FAMILY, TREND_FAMILY
 from ..plans.builder import FactorBuilder
-from ..plans.nodes import Label, Node
+from ..plans.nodes import Label, Node, merged
 from ..plans.transforms import add_ts_zscore
 
 #: Group -> template, parameter that takes the windows, z-score target.
@@ -47,6 +47,16 @@ def market_features(panel: DataFrame, windows: Mapping[str, Sequence[int]], pric
     return {g: builder.build_published(nodes) for g, nodes in groups.items()}
 
 
+def market_table(panel: DataFrame, windows: Mapping[str, Sequence[int]], price: str = "close", z_window: int = 60, reg_window: int = 10, **keys) -> DataFrame:
+    """All groups side by side, columns headed ``group: ``: one plan with one exchange, where a frame a group would read
+    the panel again for each."""
+    builder = FactorBuilder(panel, **keys)
+    groups = group_nodes(windows, price, z_window, reg_window)
+    builder.build([n for nodes in groups.values() for n in nodes])
+    shown = [F.col(n.id).alias(f"{g}: {n.name}") for g, nodes in groups.items() for n in merged(nodes).values() if n.publish]
+    return builder.df.select(builder.symbol, builder.date, *shown)
+
+
 def latest_panel(df: DataFrame, symbol: str = "symbol", date: str = "date") -> DataFrame:
     """Each symbol's last row, missing values and all."""
     body = F.struct(*(c for c in df.columns if c not in (symbol, date)))
@@ -91,27 +101,29 @@ def row_mean(columns: Sequence[str]) -> Column:
     return F.try_divide(total, n.cast("double"))
 
 
-def snapshot(groups: Mapping[str, DataFrame], labels: Mapping[str, str] | None = None, only: Mapping[str, str] | None = None, symbol: str = "symbol", date: str = "date") -> DataFrame:
-    """Latest panels side by side, columns headed by their group; ``only`` limits a group to columns with a text in them."""
-    out = None
-    for group, df in groups.items():
-        panel = latest_panel(df, symbol, date).drop(date)
-        keep = [c for c in panel.columns if c != symbol and (only or {}).get(group, "") in c]
-        head = (labels or {}).get(group, group)
-        panel = panel.select(symbol, *(F.col(f"`{c}`").alias(f"{head}: {c}") for c in keep))
-        out = panel if out is None else out.join(panel, symbol, "outer")
-    return out
+def _of_group(df: DataFrame, group: str) -> list[str]:
+    return [c for c in df.columns if c.startswith(f"{group}: ")]
+
+
+def snapshot(table: DataFrame, labels: Mapping[str, str] | None = None, only: Mapping[str, str] | None = None, symbol: str = "symbol", date: str = "date") -> DataFrame:
+    """Each symbol's last row of a :func:`market_table`, columns headed by their group's label; ``only`` limits a group to
+    columns with a text in them."""
+    latest = latest_panel(table, symbol, date)
+    shown = []
+    for c in (c for c in latest.columns if c not in (symbol, date)):
+        group, name = c.split(": ", 1)
+        if (only or {}).get(group, "") in name:
+            shown.append(F.col(f"`{c}`").alias(f"{(labels or {}).get(group, group)}: {name}"))
+    return latest.select(symbol, *shown)
 
 
-def summary_score(groups: Mapping[str, DataFrame], spread: Mapping[str, float] | None = None, name: str = "BRS", symbol: str = "symbol", date: str = "date") -> DataFrame:
-    """``trend_score``: mean of the row means of the trend groups; ``risk_score``: mean of the negated row means of the
-    risk groups; ``composite_score``: mean of both.  With ``spread``, a row for that weighted sum of symbols."""
-    out = None
-    for group in (*TREND_GROUPS, *RISK_GROUPS):
-        panel = latest_panel(groups[group], symbol, date)
-        mean = row_mean([c for c in panel.columns if c not in (symbol, date)])
-        panel = panel.select(symbol, (-mean if group in RISK_GROUPS else mean).alias(group))
-        out = panel if out is None else out.join(panel, symbol, "outer")
+def summary_score(table: DataFrame, spread: Mapping[str, float] | None = None, name: str = "BRS", symbol: str = "symbol", date: str = "date") -> DataFrame:
+    """From a :func:`market_table`: ``trend_score``, the mean of the row means of the trend groups; ``risk_score``, the
+    mean of the negated row means of the risk groups; ``composite_score``, the mean of both.  With ``spread``, a row for
+    that weighted sum of symbols."""
+    latest = latest_panel(table, symbol, date)
+    means = [row_mean(_of_group(latest, g)).alias(g) for g in TREND_GROUPS] + [(-row_mean(_of_group(latest, g))).alias(g) for g in RISK_GROUPS]
+    out = latest.select(symbol, *means)
     out = out.select(symbol, row_mean(TREND_GROUPS).alias("trend_score"), row_mean(RISK_GROUPS).alias("risk_score"))
     out = out.withColumn("composite_score", row_mean(["trend_score", "risk_score"]))
     return breadth_rows(out, {name: spread}, symbol) if spread else out
@@ -133,8 +145,8 @@ def save_csv(df: DataFrame, path: str) -> None:
 
 def report(spark: SparkSession, panel: DataFrame, windows: Mapping[str, Sequence[int]], folder: str, spread: Mapping[str, float] | None = None, **options) -> dict[str, DataFrame]:
     """Build everything and write the tables as CSV below ``folder``."""
-    groups = market_features(panel, windows, **options)
-    out = {"source_prices": panel, "snapshot": snapshot(groups, only={"regtrend_raw": "regbeta-rv"}), "summary_score": summary_score(groups, spread)}
+    table = market_table(panel, windows, **options)
+    out = {"source_prices": panel, "snapshot": snapshot(table, only={"regtrend_raw": "regbeta-rv"}), "summary_score": summary_score(table, spread)}
     for name, df in out.items():
         save_csv(df, f"{folder}/{name}")
     return out

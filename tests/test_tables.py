@@ -82,11 +82,13 @@ def test_report(spark):
     windows = {"return": [2], "dma": [3], "vdma": [3], "rv": [5], "mdd": [5], "regtrend": [3]}
     groups = report.market_features(panel, windows, z_window=10, reg_window=5)
     assert len(groups) == 12 and len(groups["regtrend_raw"].columns) == 9 and len(groups["regtrend_z"].columns) == 3
-    score = report.summary_score(groups, {"RSP": 0.5, "IWM": 0.5, "SPY": -1.0}).toPandas().set_index("symbol")
+    table = report.market_table(panel, windows, z_window=10, reg_window=5)
+    assert len(table.columns) == 2 + sum(len(g.columns) - 2 for g in groups.values())
+    score = report.summary_score(table, {"RSP": 0.5, "IWM": 0.5, "SPY": -1.0}).toPandas().set_index("symbol")
     assert set(score.index) == {"SPY", "RSP", "IWM", "BRS"}
     want = 0.5 * score.loc["RSP"] + 0.5 * score.loc["IWM"] - score.loc["SPY"]
     assert abs(score.loc["BRS"] - want).max() < 1e-9
-    snap = report.snapshot(groups, only={"regtrend_raw": "regbeta-rv"})
+    snap = report.snapshot(table, only={"regtrend_raw": "regbeta-rv"})
     assert snap.count() == 3 and sum(c.startswith("regtrend_raw: ") for c in snap.columns) == 1
     assert report.wide_view(groups["dma_raw"], "px__prc__dma__w3__raw", ["SPY", "RSP"], 4).count() == 4
     assert report.display_name("px__prc__dma__w3__raw") == "w3" and report.find_columns(snap, "dma", excludes=["vdma"])
