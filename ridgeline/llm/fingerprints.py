@@ -158,8 +158,8 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     halo = dealt.join(F.broadcast(wanted), (F.col("part") == F.col("p")) & F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("hh")))
     halo = halo.groupBy("target").agg(F.first("id").alias("id"), F.first("h").alias("h"), F.first("text").alias("text"))
     halo = halo.select(F.col("target").alias("part"), F.lit(True).alias("halo"), "id", "h", "text")
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), last + 2)
-    return dealt.unionByName(halo).repartition(n, "part").sortWithinPartitions("part", "halo", F.col("id").desc_nulls_last(), F.col("h").desc())
+    placed = dealt.unionByName(halo).repartitionById(last + 2, F.col("part"))  # a part a task
+    return placed.sortWithinPartitions("part", "halo", F.col("id").desc_nulls_last(), F.col("h").desc())
 
 
 def compare_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
