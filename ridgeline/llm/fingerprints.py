@@ -7,8 +7,8 @@ sign of a sum of shared random signs over the characters written at steps equal
 steps from the whole text; the first steps also count weakly in every bit, which settles the bits of short texts.
 The likeness of two fingerprints is the cosine that their Hamming distance stands for, 0 to 1.
 
-Near pairs come from banding: classes are sorted by bands of sampled bits, neighbours meet, and pairs are verified by
-fingerprint and then by banded edit distance.
+Near pairs come from banding: classes of equal texts meet where they agree in a band of sampled bits or share sampled
+grams, and pairs are verified by fingerprint and then by edit distance.
 """
 
 from __future__ import annotations
@@ -33,7 +33,13 @@ MAIN_WEIGHT = 16
 BUFFER_CHARS = 3_000_000
 BUFFER_ROWS = 4096
 ROWS_PER_PART = 8192
-BANDS, BAND_BITS, NEIGHBOURS = 24, 64, 3
+BANDS, BAND_BITS = 24, 24
+GRAMS = 96
+#: From how many characters on: the size of grams, and how many a pair shares.  Below 40 characters some gram always
+#: survives an edit similarity of 0.8, as edits can't cut a text any finer; above that the figures are measured.
+GRAM_SIZES = ((1, 1, 1), (5, 2, 1), (10, 3, 1), (20, 4, 1), (40, 5, 2), (64, 6, 2), (100, 8, 2), (400, 8, 3), (3000, 10, 2))
+FEW_GRAMS = 32
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(1)
@@ -203,89 +209,134 @@ def compare_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def edit_similarity(a: str, b: str, least: float) -> float:
-    """1 - edit distance / longer length, exact where it is at least ``least`` and 0 below: a banded table, row by row."""
+    """1 - edit distance / longer length, exact where it is at least ``least`` and 0 below: Myers' bit-parallel columns,
+    a column one integer, over what is left between the common start and end."""
     n, m = len(a), len(b)
     longer = max(n, m)
     room = int((1 - least) * longer + 1e-9)
-    if not longer:
+    if not longer or a == b:
         return 1.0
     if abs(n - m) > room:
         return 0.0
-    y = np.frombuffer(b.encode("utf-32-le", "surrogatepass"), np.uint32)
-    far = longer + 1
-    row = np.arange(m + 1)
-    for i, c in enumerate(np.frombuffer(a.encode("utf-32-le", "surrogatepass"), np.uint32).tolist(), 1):
-        lo, hi = max(0, i - room), min(m, i + room)
-        new = np.full(m + 1, far)
-        span = np.arange(max(lo, 1), hi + 1)
-        if lo == 0:
-            new[0] = i
-        if len(span):
-            new[span] = np.minimum(row[span] + 1, row[span - 1] + (y[span - 1] != c))
-        window = np.arange(lo, hi + 1)
-        new[window] = np.minimum.accumulate(new[window] - window) + window
-        row = new
-        if row[window].min() > room:
-            return 0.0
-    return 1 - int(row[m]) / longer if row[m] <= room else 0.0
-
-
-def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, band_bits: int = BAND_BITS, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """Links between near texts: ``left``, ``right``, ``likeness``, ``edit_similarity``, the latter at least ``least``.
-
-    Equal fingerprints form one class, named by its smallest id.  Each band samples bits in an order of its own; classes
-    are range-sorted by band and sampled bits, and each meets the few before it, which share the longest samples.  So
-    candidates grow with the rows whatever the size of a group, none is capped, and no key gathers in one task.  Pairs
-    are distinct, pass the fingerprints' likeness, and are verified by edit distance.  Further members of a class are
-    linked to its name, their own texts verified.  Null and empty texts link with each other.  Null ids are left out.
-    Like all banding it may miss a link: tests measure recall."""
+    start, most = 0, min(n, m)
+    while start < most and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < most - start and a[n - 1 - end] == b[m - 1 - end]:
+        end += 1
+    a, b = sorted((a[start : n - end], b[start : m - end]), key=len)
+    apart = len(a) or len(b)
+    if a:
+        at: dict[str, int] = {}
+        for i, x in enumerate(a):
+            at[x] = at.get(x, 0) | 1 << i
+        mask, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+        up, down = mask, 0
+        for left, x in enumerate(b, 1 - len(b)):
+            same = at.get(x, 0) | down
+            diagonal = (((same & up) + up) ^ up) | same
+            rise, fall = down | ~(up | diagonal), up & diagonal
+            apart += 1 if rise & top else -1 if fall & top else 0
+            if apart + left > room:  # each column left lowers it by one at most
+                return 0.0
+            rise = rise << 1 | 1
+            up, down = (fall << 1 | ~(rise | diagonal)) & mask, rise & diagonal & mask
+    return 1 - apart / longer if apart <= room else 0.0
+
+
+def gram_rule(size: int, least: float) -> tuple[int, int]:
+    """Size of grams and how many a pair must share, for a pair whose longer text has ``size`` characters."""
+    _, q, share = next(rule for rule in reversed(GRAM_SIZES) if rule[0] <= max(size, 1))
+    return (q, share) if least >= 0.8 else (max(1, int(q * math.log(0.8) / math.log(least))), 1)
+
+
+def gram_keys(text: str, least: float) -> tuple[list[int], int]:
+    """Sampled grams of a text as 64-bit keys, and how many of them a pair must share as far as this text says.
+
+    A text of few grams gives all, others the smallest hash of each of ``GRAMS`` bins, so that texts choose alike.  Where
+    a longer partner would have larger grams, those are given too."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(points)
+    longest = int(n / least + 1e-9)
+    edges = [n, *(e for e, _, _ in GRAM_SIZES if n < e <= longest)]
+    keys, share = [], gram_rule(n, least)[1]
+    for q in sorted({gram_rule(e, least)[0] for e in edges}):
+        if n < q:
+            continue
+        h = np.full(n - q + 1, q, np.uint64)
+        for k in range(q):
+            h = (h ^ points[k : n - q + 1 + k]) * MIX
+            h ^= h >> np.uint64(29)
+        h = np.unique(h)
+        if len(h) < FEW_GRAMS:
+            share = 1
+        if len(h) > GRAMS:
+            bins = (h >> np.uint64(40)) % np.uint64(GRAMS)
+            h = h[np.unique(bins, return_index=True)[1]]
+        keys += h.view(np.int64).tolist()
+    return keys, share
+
+
+def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, band_bits: int = BAND_BITS) -> DataFrame:
+    """Pairs of near texts: ``left``, ``right``, ``likeness``, ``edit_similarity``, the latter at least ``least``.
+
+    Equal texts form one class, named by its smallest id; the others of a class are linked to its name alone, as they have
+    the same partners.  Classes meet where they agree in a band of sampled fingerprint bits, or share enough sampled grams:
+    scattered edits part two walks, but leave grams between them.  Both are keys of one join of two written tables, whose
+    hot keys adaptive execution can split.  No number of partners is capped.  Pairs are distinct, pass the fingerprints'
+    likeness, and are verified by edit distance.  Null and empty texts link with each other.  Null ids are left out."""
+    if not 0 < least <= 1:
+        raise ValueError("least is above 0 and at most 1")
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rng = np.random.default_rng(5)
     picks = [rng.choice(BITS, band_bits, replace=False).tolist() for _ in range(bands)]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p.hex() for p in fingerprints(batch.column(1).to_pylist())], pa.string())], ["id", "print"])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = batch.column(1).to_pylist()
-            bits = np.unpackbits(np.frombuffer(b"".join(map(bytes.fromhex, prints)), np.uint8).reshape(-1, BITS // 8), axis=1)
-            for k, pick in enumerate(picks):
-                keys = np.packbits(bits[:, pick], axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f"{k:03d}" + x.tobytes().hex() for x in keys], pa.string())], ["rep", "print", "key"])
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before: list[tuple] = []
-        for batch in batches:
-            out = []
-            for rep, text, key in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                out += [(min(r, rep), max(r, rep)) for r, p, band in before if band == key[:3] and likeness(bytes.fromhex(p), bytes.fromhex(text)) >= least / 2]
-                before = [*before[1 - neighbours :], (rep, text, key[:3])] if neighbours > 1 else [(rep, text, key[:3])]
-            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(2)], ["left", "right"])
-
-    marked = written(rows.mapInArrow(mark, "id bigint, print string"), "prints")
-    classes = written(marked.groupBy("print").agg(F.min("id").alias("rep")), "print-classes")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    banded = classes.select("rep", "print").mapInArrow(cut, "rep bigint, print string, key string")
-    pairs = banded.repartitionByRange(n, "key", "rep").sortWithinPartitions("key", "rep").mapInArrow(meet, "left bigint, right bigint").distinct()
-    members = marked.join(classes.withColumnRenamed("print", "p"), F.col("print") == F.col("p")).filter("id != rep").select(F.col("rep").alias("left"), F.col("id").alias("right"))
-    pairs = written(pairs.unionByName(members), "print-pairs")
-    texts = marked.join(rows.withColumnRenamed("id", "t"), F.col("id") == F.col("t")).select("id", "print", "text")
-    sides = [texts.select(F.col("id").alias(k), F.col("print").alias(f"p{k}"), F.col("text").alias(f"t{k}")) for k in ("l", "r")]
+            texts = batch.column(1).to_pylist()
+            prints = fingerprints(texts)
+            bits = np.unpackbits(np.frombuffer(b"".join(prints), np.uint8).reshape(-1, BITS // 8), axis=1)
+            cut = [[bytes([k]) + x.tobytes() for x in np.packbits(bits[:, pick], axis=1)] for k, pick in enumerate(picks)]
+            keys = [[int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), signed=True) for key in row] for row in zip(*cut)]
+            grams = [gram_keys(t, least) for t in texts]
+            columns = [
+                batch.column(0), pa.array(prints, pa.binary()), batch.column(1), pa.array([len(t) for t in texts], pa.int32()),
+                pa.array([g[1] for g in grams], pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array([g[0] for g in grams], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "print", "text", "size", "share", "bands", "grams"])
+
+    hashed = written(rows.select("id", F.sha2("text", 256).alias("hash")), "print-hashes")
+    classes = written(hashed.groupBy("hash").agg(F.min("id").alias("rep")), "print-classes")
+    named = classes.join(rows.withColumn("h", F.sha2("text", 256)), (F.col("rep") == F.col("id")) & (F.col("hash") == F.col("h")))
+    named = named.dropDuplicates(["rep", "hash"]).select("rep", "text")
+    marked = written(named.mapInArrow(mark, "rep bigint, print binary, text string, size int, share int, bands array<bigint>, grams array<bigint>"), "prints")
+    keyed = [marked.select("rep", "size", "share", F.lit(k == "bands").alias("band"), F.explode(k).alias("key")) for k in ("bands", "grams")]
+    banded = written(keyed[0].unionByName(keyed[1]), "print-bands")
+    one, two = (banded.select(*(F.col(c).alias(f"{c}{k}") for c in banded.columns)) for k in ("1", "2"))
+    alike = (F.col("key1") == F.col("key2")) & (F.col("band1") == F.col("band2")) & (F.col("rep1") < F.col("rep2"))
+    room = F.greatest("size1", "size2") * F.lit(1 - least) + 1e-9
+    met = one.join(two, alike & (F.abs(F.col("size1") - F.col("size2")) <= room))
+    met = met.groupBy(F.col("rep1").alias("left"), F.col("rep2").alias("right"), F.least("share1", "share2").alias("share"))
+    met = met.agg(F.max("band1").alias("band"), F.count(F.lit(1)).alias("n")).filter("band OR n >= share")
+    pairs = written(met.select("left", "right"), "print-pairs")
+    sides = [marked.select(F.col("rep").alias(k), F.col("print").alias(f"p{k}"), F.col("text").alias(f"t{k}")) for k in ("l", "r")]
     met = pairs.join(sides[0], F.col("left") == F.col("l")).join(sides[1], F.col("right") == F.col("r"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = []
-            for r in batch.to_pylist():
-                same = edit_similarity(r["tl"], r["tr"], least)
+            for left, right, *sides in zip(*batch.columns):
+                pl, pr, tl, tr = (x.as_py() for x in sides)
+                like = likeness(pl, pr)
+                same = edit_similarity(tl, tr, least) if like >= least / 2 else 0.0
                 if same >= least:
-                    got.append((r["left"], r["right"], likeness(bytes.fromhex(r["pl"]), bytes.fromhex(r["pr"])), same))
+                    got.append((left.as_py(), right.as_py(), like, same))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array([g[c] for g in got], t) for c, t in enumerate(kinds)], ["left", "right", "likeness", "edit_similarity"])
 
-    return met.select("left", "right", "pl", "pr", "tl", "tr").mapInArrow(verify, "left bigint, right bigint, likeness double, edit_similarity double")
+    found = met.select("left", "right", "pl", "pr", "tl", "tr").mapInArrow(verify, "left bigint, right bigint, likeness double, edit_similarity double")
+    copies = hashed.distinct().join(classes.withColumnRenamed("hash", "h"), F.col("hash") == F.col("h")).filter("id != rep")
+    return found.unionByName(copies.select(F.col("rep").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("likeness"), F.lit(1.0).alias("edit_similarity")))
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

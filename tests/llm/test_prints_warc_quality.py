@@ -120,6 +120,21 @@ def test_near_pairs(spark):
     assert len(links) <= 24 * 3 * len(rows)
 
 
+def test_near_pairs_of_a_large_group(spark):
+    rng = random.Random(11)
+    base = prose(rng, 60)
+    rows = [(i, base[: 7 * i % len(base)] + f"<{i}>" + base[7 * i % len(base) :]) for i in range(200)]
+    docs, found, kept = spark.createDataFrame(rows, "doc_id long, text string"), [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("2", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted((r.left, r.right) for r in fp.near_pairs(docs).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert found[0] == found[1] and len(found[0]) == len(set(found[0]))
+    assert len(found[0]) > 24 * 3 * len(rows)
+
+
 PAGES = [
     (3, "http://www.Example.com/b?x=1#f", "<p>" + "a" * 200), (1, "https://example.com:80/a", "<p>" + "a" * 200), (2, None, "short"), (5, "no host", "short"),
     (4, "http://example.com/b", None), (7, "http://a.example.com/\r\nx y", "é" * 100), (9, "http://example.com/b", "<p>" + "a" * 200), (6, "http://z.org", "é" * 100), (6, "http://z.org", "é" * 100),
