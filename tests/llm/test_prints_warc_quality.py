@@ -135,6 +135,43 @@ def test_near_pairs_of_a_large_group(spark):
     assert len(found[0]) > 24 * 3 * len(rows)
 
 
+def scattered(rng, text, rate):
+    """``text`` with deletions, insertions and substitutions at random places."""
+    out = []
+    for c in text:
+        kind = rng.random() / rate
+        if kind < 2 / 3:
+            out.append(rng.choice("abcdefghijklmnop "))
+        if not 1 / 3 <= kind < 1:
+            out.append(c)
+    return "".join(out)
+
+
+def test_near_pairs_recall_with_scattered_edits(spark):
+    rng = random.Random(12)
+    rows, words = [], {}
+    for n in (2, 4, 8, 15, 30, 60, 120, 400, 1000):
+        for _ in range(30):
+            text = prose(rng, n)
+            words[len(rows)] = n
+            rows += [(len(rows), text), (len(rows) + 1, scattered(rng, text, 0.2))]
+    got = {(r.left, r.right): r.edit_similarity for r in fp.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # Brute force over all pairs of the short texts, and over the edited pairs of the long ones, where no others are near.
+    short = [r for r in rows if len(r[1]) < 250]
+    pairs = {(a[0], b[0]) for k, a in enumerate(short) for b in short[k + 1 :]} | {(i, i + 1) for i in words}
+    same = {(i, j): fp.edit_similarity(rows[i][1], rows[j][1], 0.8) for i, j in pairs}
+    want = {p: s for p, s in same.items() if s >= 0.8}
+    assert set(got) <= set(want) and all(got[p] == want[p] for p in got)
+    for n in set(words.values()):
+        near = [p for p in want if words[p[0] - p[0] % 2] == n]
+        recall = sum(p in got for p in near) / len(near)
+        print("RECALL", n, len(near), recall)
+        assert len(near) >= 8 and recall >= 0.9, (n, recall)
+    group = [(i, scattered(rng, rows[-2][1][:300], 0.03)) for i in range(60)]
+    found = fp.near_pairs(spark.createDataFrame(group, "doc_id long, text string")).count()
+    assert found >= 0.99 * 60 * 59 / 2
+
+
 PAGES = [
     (3, "http://www.Example.com/b?x=1#f", "<p>" + "a" * 200), (1, "https://example.com:80/a", "<p>" + "a" * 200), (2, None, "short"), (5, "no host", "short"),
     (4, "http://example.com/b", None), (7, "http://a.example.com/\r\nx y", "é" * 100), (9, "http://example.com/b", "<p>" + "a" * 200), (6, "http://z.org", "é" * 100), (6, "http://z.org", "é" * 100),
