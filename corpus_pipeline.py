@@ -24,10 +24,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over ``documents``; each result is written to the shared folder and read again."""
+    """The stages in order over ``documents``; each result is written to the shared folder and read again.  The last one
+    gives the token ids of every row of the mix."""
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        docs = stage(spark, docs, sf_dir) if stage is not encoded else stage(spark, docs, sf_dir, ids=True)
         if i < len(STAGES) - 1:
             path = fresh_path(spark, f"stage-{i}")
             docs.write.parquet(path)

@@ -116,6 +116,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), ids=False)
 
 
-def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every row; a document that the mix repeats has a row for each copy."""
-    return encode_documents(docs, ids=False)
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str, ids: bool = False) -> DataFrame:
+    """Token counts and digests of every row, with ``ids`` the token identifiers too; a document that the mix repeats has
+    a row for each copy."""
+    return encode_documents(docs, ids=ids).drop("decoded")

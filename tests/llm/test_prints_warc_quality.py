@@ -268,3 +268,16 @@ def test_pipeline_stage_by_stage(spark):
     want = sorted((r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in docs.collect())
     assert sorted((r.doc_id, r.decoded_sha256) for r in out.collect()) == want
     assert corpus_pipeline.run(spark, SF).count() == len(want)
+
+
+def test_pipeline_gives_token_ids(spark):
+    from ridgeline.llm.tokens import _encoder, _vocabulary
+
+    encoder = _encoder(*_vocabulary("byte_bpe_50k.tiktoken", None, None))
+    out = corpus_pipeline.run(spark, SF)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    rows = out.collect()
+    assert rows
+    for r in rows:
+        assert len(r.ids) == r.n_tokens and hashlib.sha256(" ".join(map(str, r.ids)).encode()).hexdigest() == r.ids_sha256
+        assert hashlib.sha256(encoder.decode(r.ids)).hexdigest() == r.decoded_sha256
