@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .catalog import MARKET, ORACLES, PANELS, QUERIES, factor_query, rounded
 from .functions import analytics  # noqa: F401  registers its primitives
-from .functions.compact import SAMPLE, Compact
+from .functions.compact import SAMPLE, Compact, settings
 from .functions.families import FAMILIES, RETURN_FAMILY
 from .functions.grid import Grid, expand
 from .operators import joins, report, reshape, universe
@@ -488,6 +488,10 @@ def _compact() -> None:
     factor_query("grid_compact_kinds", "weekly", Compact().build(SAMPLE), digits=5)
     factor_query("grid_compact_returns_ratio", "weekly", Compact().build([("mrr", 4, 12), ("mrr", 8, 20)]), digits=2)
     factor_query("grid_compact_beta", "type", Compact(market=MARKET).build([("beta", 8), ("beta", 10)]), benchmark=True)
+    # The whole reference grid; betas are all null over the daily panel, so they have the other one.
+    asked = settings()
+    factor_query("grid_compact_reference", "daily", Compact().build(s for s in asked if s[0] != "beta"), digits=2)
+    factor_query("grid_compact_reference_beta", "type", Compact(market=MARKET).build(s for s in asked if s[0] == "beta"), benchmark=True)
 
 
 def _chunks() -> None:

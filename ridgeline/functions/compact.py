@@ -8,6 +8,7 @@ column.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from itertools import combinations, product
 
 from ..plans.nodes import Node, node
 
@@ -140,7 +141,9 @@ class Compact:
         self.nodes, wanted = [], []
         for kind, *args in asked:
             make: Callable = getattr(self, kind)
-            if sum(a for a in args if isinstance(a, int)) <= self.max_window and (made := make(*args)) is not None:
+            windows = [a for a in args if isinstance(a, int)]
+            # The two averages of a pair start at the same row; other windows rest on each other.
+            if (max if kind in PAIRS else sum)(windows or [0]) <= self.max_window and (made := make(*args)) is not None:
                 wanted.append(made.id)
         first: dict[str, Node] = {}
         for n in self.nodes:
@@ -155,3 +158,33 @@ SAMPLE = [
     ("mapdlnrtmvr", 5, 20), ("pdiff", 3), ("rsi", 14), ("rsiz", 14, 30), ("mdd", 20), ("mddatrnorm", 20), ("var", 1, 40), ("varr", 1, 40),
     ("cvar", 1, 40), ("zatr", 60, 14), ("map", 500),
 ]
+
+_RET = [1, 3, 5, 10, 15, 20, 30, 50, 60, 90, 100, 120]
+_MAR = [3, 5, 10, 15, 20, 30, 50, 100]
+_MRZ = [10, 20, 50, 100]
+_MAP = [3, 5, 10, 15, 20, 30, 50, 100]
+_LONG = [20, 50, 100]
+_RSI = [5, 10, 14, 15, 20, 30, 50]
+_MDD = [10, 14, 20, 50, 60, 100]
+
+#: The reference's parameter grid (BuidlFeatures.ipynb.py:746-776): for each kind the values of each parameter.
+GRID = {
+    "ret": [_RET], "retNext": [[1, 5, 10, 20, 50, 100]], "mar": [_RET, _MAR], "mvr": [_RET, _MAR], "mrz": [_RET, _MRZ], "mrr": [_RET, _MRZ],
+    "map": [_MAP], "mvp": [_MAP], "blgz": [_MAP], "tr": [], "atr": [_MAP], "vtr": [_MAP], "natr": [_MAP], "zatr": [_MAP, _LONG], "ratr": [_MAP, _LONG],
+    "mapd": [_MAP], "mapdln": [_MAP], "mapdrtp": [_MAP], "mapdrtatr": [_MAP], "mapdlnrtmvr": [_MAP],
+    "rsi": [_RSI], "rsiz": [_RSI, _LONG], "mdd": [_MDD], "mddatrnorm": [_MDD], "beta": [[5, 10, 14, 15, 20, 30, 50, 60, 126]],
+    "var": [[1], [10, 20, 30, 60, 126], [0.05, 0.95]], "varr": [[1], [10, 20, 30, 60, 126], [0.1, 0.05, 0.01]], "cvar": [[1], [30, 60, 126], [0.2, 0.1, 0.05]],
+}
+PAIRS = {"mapd", "mapdln", "mapdrtp", "mapdrtatr", "mapdlnrtmvr"}
+RISING = {"mrz", "mrr", "zatr", "ratr", "rsiz", "var", "varr", "cvar"}
+
+
+def settings(grid: Mapping[str, list] = GRID) -> list[tuple]:
+    """The settings of a grid: two windows of one list for ``PAIRS``, else every combination; the ``RISING`` kinds need a
+    second window longer than the first, and a tail mean two rows in its tail."""
+    found = []
+    for kind, values in grid.items():
+        for args in combinations(values[0], 2) if kind in PAIRS else product(*values):
+            if (kind not in RISING or args[0] < args[1]) and (kind != "cvar" or args[1] * args[2] >= 2):
+                found.append((kind, *args))
+    return found

@@ -145,3 +145,13 @@ def test_chunks_give_the_same(spark, days):
     with pytest.raises(ValueError):
         build_in_chunks(panel, FAMILIES["rsi"]["RSI"]("p", 5), days)
     assert history_rows(nodes) >= 11
+
+
+def test_reference_grid_is_built():
+    from ridgeline.catalog_tables import QUERIES
+    from ridgeline.functions.compact import GRID, Compact, settings
+
+    names = {n.name for n in Compact().build(settings()) if n.publish}
+    assert len(GRID) == 28 and len(names) == 519 and {"grid_compact_reference", "grid_compact_reference_beta"} <= set(QUERIES)
+    assert {"ret_120", "mapd_50_100", "mapdlnrtmvr_50_100", "beta_126", "var_1_126_95", "cvar_1_126_5", "tr"} <= names
+    assert not {"mar_120_10", "mrz_20_10", "zatr_30_100", "cvar_1_30_5"} & names
