@@ -98,7 +98,7 @@ DEDUP = ROWS + [(400, "A B\tC\n", "q"), (401, "É", "q"), (402, "é", "q"), (403
 @pytest.mark.parametrize("digest", [lambda t: F.sha2(t, 256), lambda t: F.hex(F.pmod(F.length(t), F.lit(3)))])
 @pytest.mark.parametrize("batches", [1, 3])
 def test_exact_groups_even_with_colliding_digests(spark, digest, batches):
-    got = exact_groups(make(spark, DEDUP), digest=digest, batches=batches).collect()
+    got = exact_groups(make(spark, DEDUP), digest=digest, memtables=batches).collect()
     assert len(got) == len(DEDUP)
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     groups, kept = brute(DEDUP), defaultdict(int)
