@@ -3,6 +3,7 @@
 Each document gets a hash-random key.  Within its source the key space is cut into equal ranges, so a source that holds
 a third of all rows is spread over as many tasks as its row count asks for.  Range totals give distributed prefix sums,
 and the prefix sums are cut at each source's exact word budget; budgets above a source's size repeat whole epochs.
+Texts are read once, for their sizes and keys; the plan runs on that narrow table.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, WORD, table, written
+from .common import WORD, table, with_row_key, written
 
 MAX_EPOCHS = 3
 ROWS_PER_RANGE = 8192
@@ -28,6 +29,18 @@ def random_key(doc_id: Column, text: Column, seed: str) -> Column:
     )
 
 
+def ranked(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``rank`` from 0 in code-point order, null last: ranges of names are numbered each by itself, and
+    the ranges' counts give where each starts, so that many sources (say, hosts) are no single task."""
+    n = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sources.repartitionByRange(n, F.col("source").asc_nulls_last()).withColumn("__part", F.spark_partition_id())
+    dealt = written(dealt, "mix-sources")
+    upto = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    starts = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).select("__part", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__start"))
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(F.col("source").asc_nulls_last()))
+    return dealt.withColumn("__own", own).join(starts, "__part").withColumn("rank", F.col("__start") + F.col("__own") - 1).drop("__part", "__own", "__start")
+
+
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Add ``weight`` and ``target`` to one row per source with ``source_size`` words.
 
@@ -35,13 +48,9 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_e
     source's size stops there and the excess is shared again by weight among the others, until none is above.  Only two
     sums reach the driver in each round; rounds are at most as many as there are sources that stop, in practice few.
     """
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weighed = written(
-        sources.withColumn(
-            "weight", F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int")).cast("bigint")
-        ),
-        "mix-sources",
-    )
+    turn = (F.col("rank") % len(weights) + 1).cast("int")
+    weighed = ranked(sources).withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), turn).cast("bigint"))
+    weighed = written(weighed.drop("rank"), "mix-weights")
     cap = F.col("source_size") * max_epochs
     left, share = weighed.agg(F.sum("source_size"), F.sum("weight")).first()
     total, left, share = left or 0, left or 0, share or 1
@@ -58,8 +67,8 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_e
     return weighed.withColumn("target", target.cast("double"))
 
 
-def mix(
-    docs: DataFrame,
+def plan_mix(
+    rows: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
@@ -68,78 +77,81 @@ def mix(
     seed: str = "mix-1",
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``epochs`` (whole copies), ``cut`` (words of a last, partial
-    copy) and ``taken`` = epochs * size + cut.
-
-    Null or empty texts have size 0 and are taken 0 words; a null source is a source of its own, last in order.  Rows
-    with equal id and text tie; their copies are interchangeable.  Columns of the same names are replaced.  An empty
-    table gives an empty table.  Every source's ``taken`` sums to floor(target) exactly.
-    """
-    made = ["size", "source_size", "target", "epochs", "cut", "taken"]
-    base = docs.drop(*[c for c in made if c not in (id_col, text_col, source_col)])
-    base = base.withColumns(
-        {
-            "size": word_count(F.col(text_col)),
-            "__key": random_key(F.col(id_col), F.col(text_col), seed),
-            "__src": F.col(source_col),
-        }
-    )
-    sized = base.select("__src", "size").groupBy(F.col("__src").alias("source"))
-    targets = source_targets(
-        sized.agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")), weights, max_epochs
-    )
-    targets = targets.select(
-        F.col("source").alias("__s"),
+    """(row, id, size, source_size, target, epochs, cut, taken) of each row of ``rows``, which has a ``__row``; see
+    :func:`mix`."""
+    sized = written(
+        rows.select(
+            F.col("__row").alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+            word_count(F.col(text_col)).alias("size"), random_key(F.col(id_col), F.col(text_col), seed).alias("key"),
+        ), "mix-sizes",
+    )
+    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    targets = source_targets(sources, weights, max_epochs).select(
+        F.col("source").alias("s"),
         "source_size",
         "target",
-        F.floor("target").cast("bigint").alias("__budget"),
-        F.ceil(F.col("rows") / rows_per_range).cast("bigint").alias("__ranges"),
+        F.floor("target").cast("bigint").alias("budget"),
+        F.ceil(F.col("rows") / rows_per_range).cast("bigint").alias("ranges"),
     )
-    position = F.conv(F.substring("__key", 1, 8), 16, 10).cast("bigint")
-    ranged = base.join(targets, base["__src"].eqNullSafe(targets["__s"])).withColumn(
-        "__range", F.shiftright(position * F.col("__ranges"), 32)
+    position = F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint")
+    ranged = sized.join(targets, F.col("source").eqNullSafe(F.col("s"))).withColumn("range", F.shiftright(position * F.col("ranges"), 32))
+    totals = ranged.groupBy("s", "range").agg(F.sum("size").alias("words"))
+    before = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("s").alias("os"), F.col("range").alias("orange"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
+    here = Window.partitionBy("s", "range").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("local", F.coalesce(F.sum("size").over(here), F.lit(0))).join(
+        offsets, F.col("s").eqNullSafe(F.col("os")) & (F.col("range") == F.col("orange"))
     )
-    totals = ranged.groupBy("__s", "__range").agg(F.sum("size").alias("__words"))
-    before = Window.partitionBy("__s").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col("__s").alias("__os"),
-        F.col("__range").alias("__or"),
-        F.coalesce(F.sum("__words").over(before), F.lit(0)).alias("__offset"),
-    )
-    here = Window.partitionBy("__s", "__range").orderBy("__key", F.col(id_col)).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("__local", F.coalesce(F.sum("size").over(here), F.lit(0))).join(
-        offsets, F.col("__s").eqNullSafe(F.col("__os")) & (F.col("__range") == F.col("__or"))
-    )
-    whole = F.when(F.col("source_size") > 0, F.expr("__budget div source_size")).otherwise(0)
-    rest = F.col("__budget") - whole * F.col("source_size")
-    start = F.col("__offset") + F.col("__local")
-    cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
+    whole = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(0)
+    rest = F.col("budget") - whole * F.col("source_size")
+    cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("offset") - F.col("local")))
     return (
         placed.withColumns({"epochs": whole.cast("int"), "cut": cut.cast("bigint")})
         .withColumn("epochs", F.when(F.col("cut") == F.col("size"), F.col("epochs") + 1).otherwise(F.col("epochs")))
         .withColumn("epochs", F.when(F.col("size") == 0, 0).otherwise(F.col("epochs")))
         .withColumn("cut", F.when(F.col("cut") == F.col("size"), F.lit(0)).otherwise(F.col("cut")).cast("bigint"))
         .withColumn("taken", F.col("epochs") * F.col("size") + F.col("cut"))
-        .select(*base.drop("size", "__key", "__src").columns, *made)
+        .select("row", "id", "size", "source_size", "target", "epochs", "cut", "taken")
     )
 
 
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """``docs`` with ``size``, ``source_size``, ``target``, ``epochs`` (whole copies), ``cut`` (words of a last, partial
+    copy) and ``taken`` = epochs * size + cut.  ``options`` are those of :func:`plan_mix`.
+
+    Null or empty texts have size 0 and are taken 0 words; a null source is a source of its own, last in order.  Rows
+    with equal id and text tie; their copies are interchangeable.  Columns of the same names are replaced.  An empty
+    table gives an empty table.  Every source's ``taken`` sums to floor(target) exactly.
+    """
+    made = ["size", "source_size", "target", "epochs", "cut", "taken"]
+    kept = [c for c in docs.columns if c not in made or c in (id_col, text_col, source_col)]
+    rows = with_row_key(docs.select(*kept), id_col)
+    plan = plan_mix(rows, id_col, text_col, source_col, **options)
+    plan = plan.select(F.col("row").alias("__planned"), *(F.col(c).alias(f"__{c}") for c in made))
+    joined = rows.join(plan, F.col("__row") == F.col("__planned"))
+    return joined.select(*[c for c in kept if c not in made], *(F.col(f"__{c}").alias(c) for c in made))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    """How many words of each document the mix takes; see :func:`mix` for nulls, ties and repeated rows."""
+    rows = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    return plan_mix(rows).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix itself: each document as often as it is taken; a partial copy holds its first ``cut`` words."""
-    taken = mix(docs).withColumn("__copy", F.explode(F.expr("filter(sequence(0, epochs), i -> i < epochs OR cut > 0)")))
-    part = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, F.greatest(F.col("cut"), F.lit(1)).cast("int")))
-    partial = F.col("__copy") == F.col("epochs")
-    return taken.withColumns(
-        {
-            "n_chars": F.when(partial, F.length(part).cast("bigint")).otherwise(F.col("n_chars")),
-            "text": F.when(partial, part).otherwise(F.col("text")),
-        }
-    ).select(*DOCUMENT_COLUMNS)
+    """The mix itself: each document as often as it is taken.  A partial copy holds its first ``cut`` words, joined by one
+    space, so its line breaks are lost.  Null and empty texts have no words to take and leave the mix; a null source is
+    a source.  All columns pass, with ``n_chars`` (if there) of the text as it is after the cut."""
+    rows = with_row_key(docs, "doc_id")
+    plan = plan_mix(rows).filter("taken > 0").select(F.col("row").alias("__planned"), F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"))
+    taken = rows.join(written(plan, "mix-plan"), F.col("__row") == F.col("__planned"))
+    taken = taken.withColumn("__copy", F.explode(F.expr("filter(sequence(0, __epochs), i -> i < __epochs OR __cut > 0)")))
+    part = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, F.greatest(F.col("__cut"), F.lit(1)).cast("int")))
+    partial = F.col("__copy") == F.col("__epochs")
+    made = {"text": F.when(partial, part).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        made["n_chars"] = F.when(partial, F.length(part).cast("bigint")).otherwise(F.col("n_chars"))
+    return taken.withColumns(made).select(*docs.columns)
 
 
 #: The same in DuckDB.  The rounds of source_targets() are a recursion whose last row counts.
