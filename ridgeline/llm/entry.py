@@ -7,7 +7,7 @@ from .fingerprints import op7_fingerprints
 from .mixing import MIX_SQL, op9_mixing
 from .ngram_join import NGRAM_JOIN_SQL, op5_ngram_join
 from .quality import op8_quality
-from .sharding import op10_sharding
+from .sharding import SHARD_SQL, op10_sharding
 from .substrings import SUBSTRING_SQL, op2_substring_dedup
 from .tokens import op1_token_counts, op3_byte_bpe
 from .warc import WARC_SQL, op4_warc
@@ -29,4 +29,11 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": SUBSTRING_SQL, "op4_warc": WARC_SQL, "op5_ngram_join": NGRAM_JOIN_SQL, "op6_exact_dedup": EXACT_DEDUP_SQL, "op9_mixing": MIX_SQL}
+    return {
+        "op2_substring_dedup": SUBSTRING_SQL,
+        "op4_warc": WARC_SQL,
+        "op5_ngram_join": NGRAM_JOIN_SQL,
+        "op6_exact_dedup": EXACT_DEDUP_SQL,
+        "op9_mixing": MIX_SQL,
+        "op10_sharding": SHARD_SQL,
+    }
