@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
-from .common import DOCUMENT_COLUMNS, table, written
+from .common import spread, table, written
 
 #: Rows that train the scorer at most: those with the smallest hash of id and text.
 TRAINING_ROWS = 4000
@@ -241,10 +241,13 @@ class QualityModel:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's posterior label, score and decision.  Null and empty texts are bad to every labeller."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return QualityModel.fit(docs).score(docs).drop("text")
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that a classifier fitted to ``docs`` keeps; null and empty texts go."""
-    return QualityModel.fit(docs).score(docs).filter("keep").select(*DOCUMENT_COLUMNS)
+    """The documents that a classifier fitted to ``docs`` keeps; null and empty texts go.  All columns pass; repeated rows
+    stay or go together; an empty table stays empty."""
+    narrow = docs.select("doc_id", "text")
+    kept = QualityModel.fit(narrow).score(docs.withColumnsRenamed({c: f"__{c}" for c in ("posterior", "score", "keep")})).filter("keep").drop("posterior", "score", "keep")
+    return kept.select(*(F.col(f"__{c}").alias(c) if c in ("posterior", "score", "keep") else F.col(c) for c in docs.columns))

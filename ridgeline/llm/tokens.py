@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import BacktrackEncoder, MergeCounter, merges_from_json, ranks_from_tiktoken
-from .common import table
+from .common import spread, table
 
 CONTEXT_TOKENS = 1024
 
@@ -109,14 +109,16 @@ def encode_documents(
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"))
+    """Bytes and tokens of each whole text; see :func:`token_counts` for nulls and repeated rows."""
+    return token_counts(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(table(spark, sf_dir, "documents"), ids=False)
+    """Digests of each whole text's token ids and of what they decode to; see :func:`encode_documents`."""
+    return encode_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ids=False)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str, ids: bool = False) -> DataFrame:
     """Token counts and digests of every row, with ``ids`` the token identifiers too; a document that the mix repeats has
-    a row for each copy."""
+    a row for each copy.  Null and empty texts have no tokens."""
     return encode_documents(docs, ids=ids).drop("decoded")
