@@ -3,8 +3,8 @@
 Captures are range-sorted by reversed-host URL key.  Each writing task streams its captures, in key order, into one WARC
 file (a gzip member a record) and into one index file: sorted capture lines in compressed blocks of fixed line count.
 The block directory is sparse, with one row a block.  A lookup binary-searches the directory, reads and decompresses one
-block, binary-searches its lines and range-reads the record.  Bulk reads take one block a row, so a task's reads run
-forward through an archive.
+block, binary-searches its lines and range-reads the record.  Many lookups at once go to the tasks that hold the
+directory rows of their part of the key space, sorted, so that a task opens each block once and reads forward.
 
 File names carry the task attempt; the directory, committed by Spark, names the files of successful attempts only.  A
 lost executor leaves files that nothing refers to.
@@ -32,7 +32,7 @@ BLOCK_LINES = 1000
 MIN_REVISIT_BYTES = 100
 RECORD_DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-DIRECTORY_SCHEMA = "part int, block int, first_key string, last_key string, lines int, index_file string, offset bigint, length bigint"
+DIRECTORY_SCHEMA = "part int, block int, first_key string, first_page bigint, last_key string, last_page bigint, lines int, index_file string, offset bigint, length bigint"
 RECORD_SCHEMA = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
@@ -94,22 +94,28 @@ class _Blocks:
 
     def __init__(self, stream, name: str, part: int, lines: int):
         self.stream, self.name, self.part, self.size = stream, name, part, lines
-        self.lines: list[tuple[str, str]] = []
+        self.lines: list[tuple[str, int | None, str]] = []
         self.offset = self.block = 0
 
-    def add(self, key: str, line: str) -> Iterator[tuple]:
-        self.lines.append((key, line))
+    def add(self, key: str, page_id: int | None, line: str) -> Iterator[tuple]:
+        self.lines.append((key, page_id, line))
         if len(self.lines) >= self.size:
             yield from self.flush()
 
     def flush(self) -> Iterator[tuple]:
         if self.lines:
-            data = gzip.compress("\n".join(f"{k} {v}" for k, v in self.lines).encode(), 6, mtime=0)
+            data = gzip.compress("\n".join(f"{k} {v}" for k, _, v in self.lines).encode(), 6, mtime=0)
             self.stream.write(data)
-            yield (self.part, self.block, self.lines[0][0], self.lines[-1][0], len(self.lines), self.name, self.offset, len(data))
+            first, last = self.lines[0], self.lines[-1]
+            yield (self.part, self.block, *first[:2], *last[:2], len(self.lines), self.name, self.offset, len(data))
             self.offset, self.block, self.lines = self.offset + len(data), self.block + 1, []
 
 
+def _place(key: str, page_id: int | None) -> tuple:
+    """Sorts as the archive does: by key, then page id with null first."""
+    return key, page_id is not None, page_id or 0
+
+
 def _schema(ddl: str) -> pa.Schema:
     kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
     return pa.schema([(n, kinds[t]) for n, t in (f.strip().split(" ") for f in ddl.split(","))])
@@ -121,6 +127,7 @@ class Archive:
     def __init__(self, path: str, directory: DataFrame):
         self.path, self.directory = path, directory
         self._parts: list | None = None
+        self._starts: list | None = None
 
     @classmethod
     def write(cls, captures: DataFrame, path: str | None = None, block_lines: int = BLOCK_LINES) -> Archive:
@@ -153,7 +160,7 @@ class Archive:
                         data = gzip.compress(_record(page_id, url, payload, digest, refers_to), 6, mtime=0)
                         warc.write(data)
                         entry = {"page_id": page_id, "digest": digest, "file": warc_file, "offset": offset, "length": len(data)}
-                        rows += blocks.add(key, json.dumps(entry, separators=(",", ":")))
+                        rows += blocks.add(key, page_id, json.dumps(entry, separators=(",", ":")))
                         offset += len(data)
                     batch = next((b for b in batches if b.num_rows), None)
                 rows += blocks.flush()
@@ -170,23 +177,74 @@ class Archive:
             text = zlib.decompress(f.read_at(row["length"], row["offset"]), 31).decode()
         return [(k, json.loads(v)) for k, _, v in (line.partition(" ") for line in text.split("\n"))]
 
+    def _task_parts(self) -> list[tuple]:
+        """(first place, part) of each writing task: one row a task."""
+        if self._starts is None:
+            ends = self.directory.groupBy("part").agg(F.min(F.struct("first_key", "first_page")).alias("a"))
+            self._starts = sorted((_place(r.a.first_key, r.a.first_page), r.part) for r in ends.collect())
+        return self._starts
+
+    def fetch(self, requests: DataFrame) -> DataFrame:
+        """The records of many captures, given by ``url`` and ``page_id``: each distinct pair is looked up once and gives
+        all its records.  Payloads are checked, not returned; what isn't in the archive gives no row."""
+        starts, out, lines = self._task_parts(), _schema(RECORD_SCHEMA), self._lines
+        asked = requests.select(url_key(F.col("url")).alias("key"), F.col("page_id").cast("bigint").alias("page_id")).distinct()
+        if not starts:
+            return asked.limit(0).mapInArrow(lambda batches: iter(()), RECORD_SCHEMA)
+        firsts, parts = [s for s, _ in starts], [p for _, p in starts]
+
+        def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = [parts[max(0, bisect_right(firsts, _place(k, p)) - 1)] for k, p in zip(*(c.to_pylist() for c in batch.columns))]
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *batch.columns], ["part", "first_key", "first_page"])
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part, blocks, lasts, held, opened, at = None, [], [], None, None, None
+            for batch in batches:
+                got = []
+                for row in batch.to_pylist():
+                    if part != row["part"]:
+                        part, blocks, lasts, held = row["part"], [], [], None
+                    if row["block"] is not None:
+                        blocks.append(row)
+                        lasts.append(_place(row["last_key"], row["last_page"]))
+                        continue
+                    asked = _place(row["first_key"], row["first_page"])
+                    i = bisect_left(lasts, asked)
+                    while i < len(blocks) and _place(blocks[i]["first_key"], blocks[i]["first_page"]) <= asked:
+                        if held is None or held[0] != i:
+                            entries = lines(blocks[i])
+                            held = i, [_place(k, e["page_id"]) for k, e in entries], entries
+                        for _, entry in held[2][bisect_left(held[1], asked) : bisect_right(held[1], asked)]:
+                            if at != entry["file"]:
+                                if opened is not None:
+                                    opened.close()
+                                store, name = _store(at := entry["file"])
+                                opened = store.open_input_file(name)
+                            got.append(parse_record(zlib.decompress(opened.read_at(entry["length"], entry["offset"]), 31)))
+                            del got[-1]["payload"]
+                        i += 1
+                yield pa.RecordBatch.from_pylist(got, schema=out)
+
+        routed = asked.mapInArrow(route, "part int, first_key string, first_page bigint")
+        both = self.directory.unionByName(routed, allowMissingColumns=True).repartitionById(max(parts) + 1, F.col("part"))
+        both = both.sortWithinPartitions("part", F.col("block").asc_nulls_last(), "first_key", "first_page")
+        return both.mapInArrow(read, RECORD_SCHEMA)
+
     def records(self) -> DataFrame:
-        """Every record, read back through directory, blocks and range reads; payloads are checked, not returned."""
+        """Every record, in blocks: for whoever wants all and has no URLs."""
         out, lines = _schema(RECORD_SCHEMA), self._lines
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            opened, at = None, None
             for batch in batches:
                 for row in batch.to_pylist():
                     got = []
-                    for _, entry in lines(row):
-                        if at != entry["file"]:
-                            if opened is not None:
-                                opened.close()
-                            store, name = _store(at := entry["file"])
-                            opened = store.open_input_file(name)
-                        got.append(parse_record(zlib.decompress(opened.read_at(entry["length"], entry["offset"]), 31)))
-                        del got[-1]["payload"]
+                    entries = lines(row)
+                    store, name = _store(entries[0][1]["file"])  # a block's captures are in one file
+                    with store.open_input_file(name) as f:
+                        for _, entry in entries:
+                            got.append(parse_record(zlib.decompress(f.read_at(entry["length"], entry["offset"]), 31)))
+                            del got[-1]["payload"]
                     yield pa.RecordBatch.from_pylist(got, schema=out)
 
         n = int(self.directory.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -228,8 +286,11 @@ def captures(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> Da
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archive = Archive.write(captures(table(spark, sf_dir, "pages")))
-    return archive.records().select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """All pages as WARC records, each looked up again by its URL key and page id; see :func:`captures` for nulls, ties and
+    repeated rows."""
+    pages = table(spark, sf_dir, "pages")
+    archive = Archive.write(captures(pages))
+    return archive.fetch(pages.select("url", "page_id")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 WARC_SQL = """

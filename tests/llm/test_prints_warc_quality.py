@@ -192,12 +192,17 @@ def test_warc_round_trip(spark):
         to = first.get(h, i)
         want.append((i, len(data), hashlib.sha256(data).hexdigest(), "response" if to == i else "revisit", None if to == i else to))
     assert got == sorted(want)
+    again = archive.fetch(pages.select("url", "page_id").repartition(3)).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in again) == sorted(want)
+    some = spark.createDataFrame([("http://example.com/b", 4), ("http://example.com/b", 5), ("http://z.org", 6), ("http://nowhere.net/", 1)], "url string, page_id long")
+    assert sorted(r.page_id for r in archive.fetch(some).collect()) == [4, 6, 6]
     assert {(r["page_id"], r["record_type"]) for r in archive.lookup("http://EXAMPLE.com/b")} == {(4, "response"), (9, "revisit")}
     hit = archive.lookup("http://www.example.com/b?x=1")
     assert [r["page_id"] for r in hit] == [3] and archive.lookup("http://nowhere.net/") == []
     assert archive.lookup("https://example.com:80/a")[0]["payload"].decode() == PAGES[1][2]
     assert {r["page_id"] for r in archive.lookup("http://z.org")} == {6}
-    assert Archive.write(captures(pages.limit(0))).records().count() == 0
+    empty = Archive.write(captures(pages.limit(0)))
+    assert empty.records().count() == 0 and empty.fetch(pages).count() == 0
 
 
 def test_lookups_over_many_blocks(spark):
@@ -205,6 +210,8 @@ def test_lookups_over_many_blocks(spark):
     archive = Archive.write(captures(spark.createDataFrame(pages, "page_id long, url string, html string")), block_lines=3)
     for url in {u for _, u, _ in pages[:60]}:
         assert {r["page_id"] for r in archive.lookup(url)} == {i for i, u, _ in pages if u == url}
+    asked = spark.createDataFrame([(u, i) for i, u, _ in pages], "url string, page_id long")
+    assert sorted(r.page_id for r in archive.fetch(asked).collect()) == list(range(400))
 
 
 def test_url_keys_and_damage(spark):
