@@ -3,12 +3,15 @@
 Every 35-word window has one anchor, the smallest 7-word hash in it (winnowing), so equal windows have equal anchors in
 equal places.  Consecutive windows with one anchor form a run; there is about one run for fifteen words.
 
-1. Anchors that occur once are dropped: their windows can't repeat.
+1. Anchors that occur once are dropped: their windows can't repeat.  The others are the seeds.
 2. Runs of the other anchors are joined with their documents' texts and extended both ways to all windows of the run.
-3. Runs with one anchor and one content are one variant.  A variant that occurs twice repeats whole.  Only where an anchor
-   has several variants are single windows compared, once a variant, however many copies it has; so a passage in a
-   million documents costs a million narrow rows, and no pairs.
-4. Repeating windows return to their documents, their union is what maximal repeats cover, and those words go.
+   Runs with one anchor and one content are one class.  A class that occurs twice matches whole; where an anchor has
+   several classes, their single windows are classes too.  A class has a representative, its first occurrence by row
+   and place, and every other occurrence matches that one (the representative matches the last).  So a passage in a
+   million documents costs a million narrow rows, and no pairs; yet each occurrence that repeats has a partner.
+3. Matches of one document with one partner on one diagonal are extended into each other, over the borders of runs, to
+   maximal repeats: (start, length, partner, place there).  A repeat is kept if it has 35 words or more.
+4. The words that maximal repeats cover go.
 """
 
 from __future__ import annotations
@@ -84,8 +87,25 @@ def _extended(rows: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(make, "anchor bigint, variant bigint, row bigint, run bigint, windows array<bigint>")
 
 
+def maximal(starts: np.ndarray, sizes: np.ndarray, partners: np.ndarray, places: np.ndarray, window: int):
+    """Matches of one document, extended into each other: ``sizes`` consecutive windows from ``starts`` on match those of
+    ``partners`` from ``places`` on.  Gives start, length in words, partner and place of each maximal repeat."""
+    diagonal = places - starts
+    order = np.lexsort((starts, diagonal, partners))
+    starts, ends, partners, diagonal = (x[order] for x in (starts, starts + sizes, partners, diagonal))
+    new = np.ones(len(starts), bool)
+    new[1:] = (partners[1:] != partners[:-1]) | (diagonal[1:] != diagonal[:-1]) | (starts[1:] > ends[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(starts)) - 1
+    return starts[first], ends[last] - starts[first] + window - 1, partners[first], (starts + diagonal)[first]
+
+
+def _matches(marks) -> list[np.ndarray]:
+    return [marks.values.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
+
+
 def _removed(rows: DataFrame, window: int, out_kind: str, texts: bool) -> DataFrame:
-    """Texts without the words of repeating windows; rows: row, text, marks (run, mask)."""
+    """Texts without the words of maximal repeats; rows: row, text, marks (start, size, partner, place)."""
     names = ["__r", "n_words", "n_removed", "kept_sha256", *(["kept_text"] if texts else [])]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *([pa.string()] if texts else [])]
 
@@ -96,12 +116,10 @@ def _removed(rows: DataFrame, window: int, out_kind: str, texts: bool) -> DataFr
                 words = _text(text).split()
                 kept = words
                 if marks.is_valid:
-                    packed, mask = (marks.values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-                    hit = (mask[:, None] >> np.arange(63)) & 1 == 1
-                    starts = ((packed >> 8)[:, None] + np.arange(63))[hit]
+                    starts, lengths, *_ = maximal(*_matches(marks), window)
                     change = np.zeros(len(words) + 1, np.int64)
                     np.add.at(change, starts, 1)
-                    np.add.at(change, starts + window, -1)
+                    np.add.at(change, starts + lengths, -1)
                     clear = np.cumsum(change[:-1]) == 0
                     kept = [w for w, c in zip(words, clear.tolist()) if c]
                 left = b" ".join(kept)
@@ -112,18 +130,8 @@ def _removed(rows: DataFrame, window: int, out_kind: str, texts: bool) -> DataFr
     return rows.mapInArrow(make, out_kind)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, texts: bool = True) -> DataFrame:
-    """``docs``' ids with ``n_words``, ``n_removed``, ``kept_sha256`` and, with ``texts``, ``kept_text``.
-
-    A word goes if a window of ``window`` words over it has a word sequence that also starts anywhere else, in the same
-    document or another; windows are judged on the input.  Null and empty texts have no words.  Repeated rows are
-    documents of their own, hence repeats of each other; ids may be null or tie.  Other columns are left out.  An empty
-    table gives an empty table.  ``window - anchor`` is at most 62.
-    """
-    if not 1 <= anchor <= window or window - anchor > 61:
-        raise ValueError("anchor is between 1 and window, and at most 61 shorter")
-    base = with_row_key(docs.select(id_col, text_col), id_col)
-    rows = base.select("__row", F.col(text_col).cast("binary").alias("text"))
+def _matched(rows: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(row, marks) of each row with a repeating window; marks are its matches: start, size in windows, partner, place."""
     anchors = written(_anchors(rows, window, anchor), "anchors")
     repeated = written(anchors.groupBy(F.col("anchor").alias("a")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a"), "repeated")
     marked = anchors.join(repeated, F.col("anchor") == F.col("a"), "left_semi")
@@ -132,22 +140,75 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for old in (anchors, repeated):
         drop_written(old)
 
-    variants = extended.groupBy("anchor", "variant").agg(F.count(F.lit(1)).alias("n"), F.first("windows").alias("windows"))
-    variants = written(variants, "variants")
-    whole = variants.filter("n > 1").select("anchor", "variant", F.expr("shiftleft(1L, size(windows)) - 1").alias("mask"))
-    several = written(variants.groupBy(F.col("anchor").alias("a")).agg(F.count(F.lit(1)).alias("v")).filter("v > 1").select("a"), "several")
-    # A window occurs as often as the variants that hold it; (anchor, window) is a 128-bit name.
-    single = variants.join(several, F.col("anchor") == F.col("a"), "left_semi").select("anchor", "variant", "n", F.posexplode("windows").alias("i", "w"))
-    often = written(single.groupBy(F.col("anchor").alias("a"), F.col("w").alias("ww")).agg(F.sum("n").alias("c")).filter("c > 1").select("a", "ww"), "often")
-    # A run has several windows of one content only if its text is periodic; each of them counts above.
+    here = F.struct("row", F.shiftright("run", 8).alias("start"))
+    classes = extended.groupBy("anchor", "variant").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("first"), F.max(here).alias("last"), F.first("windows").alias("windows"))
+    classes = written(classes, "variants")
+    several = written(classes.groupBy(F.col("anchor").alias("a")).agg(F.count(F.lit(1)).alias("v")).filter("v > 1").select("a"), "several")
+    # Single windows of the anchors with several classes; (anchor, window) is a 128-bit name, and equal windows have their
+    # anchor in the same place, so a class has no window twice.
+    shift = lambda c: F.struct(F.col(f"{c}.row").alias("row"), (F.col(f"{c}.start") + F.col("i")).alias("start")).alias(c)
+    single = classes.join(several, F.col("anchor") == F.col("a"), "left_semi").select("anchor", "variant", "n", "first", "last", F.posexplode("windows").alias("i", "w"))
+    single = single.select("anchor", "variant", "n", "i", "w", shift("first"), shift("last"))
+    often = single.groupBy(F.col("anchor").alias("a"), F.col("w").alias("ww")).agg(F.sum("n").alias("c"), F.min("first").alias("f"), F.max("last").alias("l"))
+    often = written(often.filter("c > 1").select("a", "ww", "f", "l"), "often")
     partly = single.filter("n = 1").join(often, (F.col("anchor") == F.col("a")) & (F.col("w") == F.col("ww")))
-    partly = partly.groupBy("anchor", "variant").agg(F.expr("bit_or(shiftleft(1L, i))").alias("mask"))
-    masks = written(whole.unionByName(partly), "masks").select(F.col("anchor").alias("a"), F.col("variant").alias("v"), "mask")
-    marks = extended.join(masks, (F.col("anchor") == F.col("a")) & (F.col("variant") == F.col("v"))).select("row", "run", "mask")
-    marks = written(marks.groupBy("row").agg(F.collect_list(F.struct("run", "mask")).alias("marks")), "marks")
-    for old in (extended, variants):
+    partly = partly.groupBy("anchor", "variant").agg(F.collect_list(F.struct(F.col("i"), F.lit(1).alias("size"), "f", "l")).alias("parts"))  # one run's
+    whole = classes.filter("n > 1").select(
+        "anchor", "variant", F.array(F.struct(F.lit(0).alias("i"), F.size("windows").alias("size"), F.col("first").alias("f"), F.col("last").alias("l"))).alias("parts")
+    )
+    parts = written(whole.unionByName(partly), "masks").select(F.col("anchor").alias("a"), F.col("variant").alias("v"), "parts")
+    marks = extended.join(parts, (F.col("anchor") == F.col("a")) & (F.col("variant") == F.col("v")))
+    marks = marks.select("row", F.shiftright("run", 8).alias("at"), F.explode("parts").alias("p"))
+    start = F.col("at") + F.col("p.i")
+    other = F.when((F.col("p.f.row") == F.col("row")) & (F.col("p.f.start") == start), F.col("p.l")).otherwise(F.col("p.f"))
+    mark = F.struct(start.cast("bigint").alias("start"), F.col("p.size").cast("bigint").alias("size"), other["row"].alias("partner"), other["start"].alias("place"))
+    marks = written(marks.groupBy("row").agg(F.collect_list(mark).alias("marks")), "marks")
+    for old in (extended, classes):
         drop_written(old)
+    return marks
+
+
+def _checked(window: int, anchor: int) -> None:
+    if not 1 <= anchor <= window or window - anchor > 254:
+        raise ValueError("anchor is between 1 and window, and at most 254 shorter")
+
 
+def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """``start``, ``length`` (in words), ``partner`` (an id) and ``place`` of the repeats of each document, next to its id.
+
+    A repeat is a run of ``window`` words or more that also starts at ``place`` in ``partner``, the same document
+    included, and can't be extended there within the windows that have that partner.  Partners are representatives of
+    their classes, so a passage in m documents gives about m rows, not pairs; every word sequence of ``window`` words that
+    occurs twice is covered in all its places.  Nulls, ties and repeated rows: see :func:`without_repeats`."""
+    _checked(window, anchor)
+    base = with_row_key(docs.select(id_col, text_col), id_col)
+    marks = _matched(base.select("__row", F.col(text_col).cast("binary").alias("text")), window, anchor)
+    names = ["__r", "start", "length", "__p", "place"]
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, found in zip(batch.column(0).to_pylist(), batch.column(1)):
+                start, length, partner, place = maximal(*_matches(found), window)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(start), row), start, length, partner, place)], names)
+
+    found = marks.mapInArrow(extend, ", ".join(f"{n} bigint" for n in names))
+    ids = base.select(F.col(id_col).alias("__id"), "__row")
+    found = found.join(ids, F.col("__r") == F.col("__row")).select(F.col("__id").alias(id_col), "start", "length", "__p", "place")
+    return found.join(ids, F.col("__p") == F.col("__row")).select(id_col, "start", "length", F.col("__id").alias("partner"), "place")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, texts: bool = True) -> DataFrame:
+    """``docs``' ids with ``n_words``, ``n_removed``, ``kept_sha256`` and, with ``texts``, ``kept_text``.
+
+    A word goes if a window of ``window`` words over it has a word sequence that also starts anywhere else, in the same
+    document or another; windows are judged on the input.  Null and empty texts have no words.  Repeated rows are
+    documents of their own, hence repeats of each other; ids are of any type and may be null or tie.  Other columns are
+    left out.  An empty table gives an empty table.  ``window - anchor`` is at most 254.
+    """
+    _checked(window, anchor)
+    base = with_row_key(docs.select(id_col, text_col), id_col)
+    rows = base.select("__row", F.col(text_col).cast("binary").alias("text"))
+    marks = _matched(rows, window, anchor)
     schema = "__r bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * texts
     done = _removed(rows.join(marks, F.col("__row") == F.col("row"), "left").select("__row", "text", "marks"), window, schema, texts)
     made = done.columns[1:]
@@ -156,6 +217,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document, how many go as parts of repeats, and a digest of the rest; see :func:`without_repeats`."""
     return without_repeats(table(spark, sf_dir, "documents"), texts=False)
 
 

@@ -10,7 +10,7 @@ import pytest
 from ridgeline.llm.components import components
 from ridgeline.llm.ngram_join import least_overlap, near_groups, overlap_needed, one_of_each_group
 from ridgeline.llm.shingles import shingle_set, word_hashes
-from ridgeline.llm.substrings import runs, without_repeats
+from ridgeline.llm.substrings import maximal, maximal_repeats, runs, without_repeats
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -136,7 +136,31 @@ def test_without_repeats_with_null_and_repeated_ids(spark):
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, brute_repeats(rows, 12)))
     assert without_repeats(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
-        without_repeats(docs, window=80, anchor=3)
+        without_repeats(docs, window=300, anchor=3)
+
+
+def test_maximal_repeats(spark):
+    rows = [r for r in corpus(7) if r[1]]
+    words = {i: t.encode().split() for i, t, *_ in rows}
+    window = 12
+    found = maximal_repeats(spark.createDataFrame(rows, SCHEMA), window=window, anchor=4).collect()
+    covered = {i: set() for i in words}
+    for r in found:
+        a, b = words[r.doc_id], words[r.partner]
+        assert r.length >= window and (r.doc_id, r.start) != (r.partner, r.place)
+        assert a[r.start : r.start + r.length] == b[r.place : r.place + r.length]
+        covered[r.doc_id] |= set(range(r.start, r.start + r.length))
+    assert {i: len(c) for i, c in covered.items()} == {i: gone for i, _, gone, *_ in brute_repeats(rows, window)}
+    # No two repeats of one document with one partner on one diagonal touch: each is as long as its windows allow.
+    spans = sorted((r.doc_id, r.partner, r.place - r.start, r.start, r.length) for r in found)
+    assert all(x[:3] != y[:3] or y[3] > x[3] + x[4] - window + 1 for x, y in zip(spans, spans[1:]))
+
+
+def test_matches_extend_into_each_other():
+    starts, sizes = np.array([0, 5, 5, 30, 12]), np.array([5, 7, 7, 1, 3])
+    partners, places = np.array([9, 9, 8, 9, 9]), np.array([100, 105, 4, 130, 112])
+    got = sorted(zip(*(x.tolist() for x in maximal(starts, sizes, partners, places, 35))))
+    assert got == [(0, 49, 9, 100), (5, 41, 8, 4), (30, 35, 9, 130)]
 
 
 def test_every_window_has_one_anchor_and_equal_windows_equal_ones():
