@@ -2,14 +2,21 @@
 
 1. Equal shingle sets form one class; only classes are joined, so copies cost nothing further.
 2. Shingles are counted in a fixed number of hash buckets over all documents.  (bucket count, hash) is a total order that
-   puts rare shingles first; any total order gives the same links.  Sets that reach the threshold share a shingle among their first n - ceil(0.8 n) + 1.
-3. Postings of prefix shingles are dealt by shingle and sorted by position.  In each posting list the first entry, the one
-   with the fewest rarer shingles, meets all others: candidates grow with the postings, not with their square.  Length
-   and positional filters drop candidates at once; the positional bound holds at a pair's first common shingle.
-4. Candidates are distinct, pass a suffix filter (shingle counts by part of the hash space bound the difference) before
-   any text moves, and are verified once, exactly.  Their components are found.
-5. What is left are entries of one posting list in different components.  All such pairs that pass the three filters
-   and were not verified before are verified, so no link between different texts is lost.
+   puts rare shingles first; any total order gives the same links.  Sets that reach the threshold share a shingle among
+   their first n - ceil(0.8 n) + 1.
+3. The head of a posting list is the entry with the fewest rarer shingles; it meets all others, so candidates grow with
+   the postings, not with their square.  Lists are first cut where they arise: of the entries of one batch of documents
+   the local head meets the others at once, and local heads alone travel to the list's task.  A list as long as a third
+   of all documents is there as one entry a batch.  Length and positional filters drop candidates at once; the positional
+   bound holds at a pair's first common shingle.
+4. Candidates are distinct, pass a suffix filter before any text moves (with the hash space cut at fixed pivots, the sums
+   of the differences of shingle counts between pivots bound the difference of two sets), and are verified once, exactly.
+   Their components are found.
+5. What is left are entries of one posting list in different components.  The entries outside of the list's largest
+   component meet all others of the list in one join on the shingle, which adaptive execution can split.  All such pairs
+   that pass the three filters and were not verified before are verified, so no link between different texts is lost.
+
+Classes go by 64 bits of a 128-bit digest of their sets.  Digests that share them, about n^2 / 2^65 of n, get new names.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import drop_written, table, with_row_key, written
@@ -35,6 +42,7 @@ PROFILE_BITS = 6
 LOW = 0xFFFFFFFF
 #: A worker skips the postings of so many sets that it has just given; copies in one task then count once.
 SEEN_SETS = 200_000
+CLASS_BITS = 64
 
 
 def _text(value: pa.Scalar) -> bytes:
@@ -70,42 +78,69 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return need <= min(len(a), len(b)) and len(np.intersect1d(a, b, assume_unique=True)) >= need
 
 
-def _sets(rows: DataFrame, ngram: int) -> DataFrame:
-    """For each row its set's size, 64-bit class, 128-bit digest and profile; and from each task its shingle counts, a
-    chunk of buckets a row, one byte a bucket (a task's count stops at 255, which leaves an order as good)."""
+def class_name(digest: bytes, renamed: dict[bytes, int], bits: int = CLASS_BITS) -> int:
+    """A set's class by its digest: its first ``bits`` bits, unless another digest has the same."""
+    found = renamed.get(digest) if renamed else None
+    return int.from_bytes(digest[:8], signed=True) >> (64 - bits) if found is None else found
+
+
+def _sets(rows: DataFrame, ngram: int, id_type: str, class_bits: int) -> DataFrame:
+    """For each row its set's size, class, 128-bit digest and profile; and from each task its shingle counts, a chunk of
+    buckets a row, one byte a bucket (a task's count stops at 255, which leaves an order as good)."""
     names = ["row", "id", "n", "cls", "digest", "profile", "chunk", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), None, pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << BUCKET_BITS, np.int32)
+        counts, own = np.zeros(1 << BUCKET_BITS, np.int32), None
 
         def add(held: list[np.ndarray]) -> None:
             if held:
                 counts[:] += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts)).astype(np.int32)
 
         for batch in batches:
-            out, held, size = [], [], 0
-            for row, id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            out, held, size, own = [], [], 0, batch.column(1).type
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(2)):
                 shingles = shingle_set(_text(text), ngram)
                 digest = xxhash.xxh3_128_digest(shingles.tobytes())
-                cls = int.from_bytes(digest[:8], signed=True) if len(shingles) else None
-                out.append((row, id_, len(shingles), cls, digest, profile(shingles), None, None))
+                cls = class_name(digest, {}, class_bits) if len(shingles) else None
+                out.append((row, None, len(shingles), cls, digest, profile(shingles), None, None))
                 held.append(shingles >> np.uint64(64 - BUCKET_BITS))
                 size += len(shingles)
                 if size > 4_000_000:
                     add(held)
                     held, size = [], 0
             add(held)
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kinds[c]) for c in range(8)], names)
+            yield pa.RecordBatch.from_arrays([batch.column(1) if c == 1 else pa.array([r[c] for r in out], kinds[c]) for c in range(8)], names)
         chunks = np.minimum(counts, 255).astype(np.uint8).reshape(-1, 1 << CHUNK_BITS)
         used = np.flatnonzero(chunks.any(axis=1))
-        none = [pa.nulls(len(used), k) for k in kinds[:6]]
-        yield pa.RecordBatch.from_arrays([*none, pa.array(used, pa.int32()), pa.array([chunks[i].tobytes() for i in used], pa.binary())], names)
+        if len(used):
+            none = [pa.nulls(len(used), k or own) for k in kinds[:6]]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(used, pa.int32()), pa.array([chunks[i].tobytes() for i in used], pa.binary())], names)
 
-    schema = "row bigint, id bigint, n bigint, cls bigint, digest binary, profile binary, chunk int, counts binary"
+    schema = f"row bigint, id {id_type}, n bigint, cls bigint, digest binary, profile binary, chunk int, counts binary"
     return rows.mapInArrow(make, schema)
 
 
+def _renamed(classes: DataFrame, class_bits: int) -> dict[bytes, int]:
+    """New names for all but the first of the digests that share a class; classes: one row a digest.  With 64 bits they
+    are about n^2 / 2^65 of n digests: 271 of 10^11."""
+    shared = classes.groupBy(F.col("cls").alias("c")).agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("c")
+    odd = classes.join(shared, F.col("cls") == F.col("c"), "left_semi").select("digest", "cls").collect()
+    first: dict[int, bytes] = {}
+    for r in odd:
+        first[r.cls] = min(first.get(r.cls, bytes(r.digest)), bytes(r.digest))
+    names: dict[bytes, int] = {}
+    for digest in sorted(bytes(r.digest) for r in odd if bytes(r.digest) != first[r.cls]):
+        salt = 1
+        while (name := xxhash.xxh3_64_intdigest(digest, salt) - (1 << 63)) in names.values():
+            salt += 1
+        names[digest] = name
+    taken = classes.filter(F.col("cls").isin(*names.values())).select("cls").collect() if names else []
+    if taken:
+        raise RuntimeError("a new name is taken")  # needs n of 2^64 twice over for one of so few names
+    return names
+
+
 def _bucket_counts(chunks: DataFrame) -> np.ndarray:
     """The counts of all tasks, added up on the executors; the driver gets one number a bucket."""
 
@@ -124,12 +159,15 @@ def _bucket_counts(chunks: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _postings(rows: DataFrame, ngram: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(token, at, cls) of each set's prefix; ``at`` holds the place in the upper and the set's size in the lower half."""
-    shared = rows.sparkSession.sparkContext.broadcast(counts)  # 16 MB whatever the input
+def _postings(rows: DataFrame, ngram: int, percent: int, counts: np.ndarray, renamed: dict[bytes, int], class_bits: int) -> DataFrame:
+    """(token, at, cls) of each set's prefix; ``at`` holds the place in the upper and the set's size in the lower half.
+    ``head`` is null for a batch's first entry of a token, else the class of that entry; then ``candidate`` says whether
+    the two pass the filters.  ``many`` marks first entries that others follow."""
+    shared = rows.sparkSession.sparkContext.broadcast((counts, renamed))  # 16 MB whatever the input
+    names = ["token", "at", "cls", "head", "candidate", "many"]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, frequency = set(), shared.value
+        seen, (frequency, other) = set(), shared.value
         for batch in batches:
             tokens, ats, classes = [], [], []
             for text in batch.column(0):
@@ -137,7 +175,7 @@ def _postings(rows: DataFrame, ngram: int, percent: int, counts: np.ndarray) ->
                 n = len(s)
                 if 100 * n < percent * (n + 1):
                     continue  # so small that only an equal set reaches the threshold
-                cls = int.from_bytes(xxhash.xxh3_128_digest(s.tobytes())[:8], signed=True)
+                cls = class_name(xxhash.xxh3_128_digest(s.tobytes()), other, class_bits)
                 if cls in seen:
                     continue
                 if len(seen) >= SEEN_SETS:
@@ -152,51 +190,41 @@ def _postings(rows: DataFrame, ngram: int, percent: int, counts: np.ndarray) ->
                 tokens.append(s.view(np.int64))
                 ats.append((np.arange(p, dtype=np.int64) << 32) | n)
                 classes.append(np.full(p, cls, np.int64))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, ats, classes)], ["token", "at", "cls"])
-
-    return rows.mapInArrow(make, "token bigint, at bigint, cls bigint")
-
-
-def _runs(batches: Iterator[pa.RecordBatch], n_columns: int, more=None) -> Iterator[list[np.ndarray]]:
-    """Batches of whole runs of equal values in the first column: ``n_columns`` of numbers, and one that ``more`` reads."""
-    carry = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(n_columns)]
-        now += [more(batch.column(n_columns))] if more else []
-        if carry is not None:
-            now = [np.concatenate(x) for x in zip(carry, now)]
-        cut = int(np.searchsorted(now[0], now[0][-1]))
-        carry = [x[cut:] for x in now]
-        if cut:
-            yield [x[:cut] for x in now]
-    if carry is not None:
-        yield carry
+            if not tokens:
+                continue
+            token, at, cls = (np.concatenate(x) for x in (tokens, ats, classes))
+            order = np.lexsort((cls, at, token))
+            token, at, cls = token[order], at[order], cls[order]
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            lengths = np.diff(np.concatenate([starts, [len(token)]]))
+            first = np.repeat(starts, lengths)
+            bound = first != np.arange(len(token))
+            fits = bound & (cls != cls[first]) & passes(at & LOW, at >> 32, (at & LOW)[first], (at >> 32)[first], percent)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token), pa.array(at), pa.array(cls), pa.array(cls[first], mask=~bound), pa.array(fits), pa.array(~bound & np.repeat(lengths > 1, lengths))], names
+            )
 
+    return rows.mapInArrow(make, "token bigint, at bigint, cls bigint, head bigint, candidate boolean, many boolean")
 
-def _shared_tokens(postings: DataFrame, percent: int) -> DataFrame:
-    """Posting lists of tokens that two classes or more have, each entry with the head of its list, and whether the two
-    pass the filters."""
-    names = ["token", "at", "cls", "head_cls", "candidate"]
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, at, cls in _runs(batches, 3):
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
-            token, at, cls = token[new], at[new], cls[new]
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            lengths = np.diff(np.concatenate([starts, [len(token)]]))
-            head = np.repeat(starts, lengths)
-            many = np.repeat(lengths, lengths) > 1
-            n, p = at & LOW, at >> 32
-            fits = passes(n, p, n[head], p[head], percent) & (cls != cls[head])
-            yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (token, at, cls, cls[head], fits)], names)
+def _passes(a: str, b: str, percent: int) -> Column:
+    """:func:`passes` for two columns that hold place and size."""
+    (n1, p1), (n2, p2) = ((F.col(x).bitwiseAND(F.lit(LOW)), F.shiftright(x, 32)) for x in (a, b))
+    need = F.ceil(F.lit(percent) * (n1 + n2) / F.lit(100 + percent))
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (F.least(n1 - p1, n2 - p2) >= need)
+
 
-    n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = postings.repartition(n, "token").sortWithinPartitions("token", "at", "cls")
-    return dealt.mapInArrow(make, "token bigint, at bigint, cls bigint, head_cls bigint, candidate boolean")
+def _shared_tokens(postings: DataFrame, percent: int) -> DataFrame:
+    """Entries of tokens that two classes or more have, each with the head of its list (or of its batch), and whether the
+    two pass the filters.  Heads of batches are dealt by token; all others stay spread by their class."""
+    list_ = Window.partitionBy("key", "bound").orderBy("at", "cls")
+    whole = list_.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bound = F.col("head").isNotNull()
+    keyed = postings.withColumns({"key": F.when(bound, F.col("cls")).otherwise(F.col("token")), "bound": bound})
+    met = keyed.withColumns({"top": F.first("cls").over(list_), "top_at": F.first("at").over(list_), "low": F.min("cls").over(whole), "high": F.max("cls").over(whole)})
+    met = met.filter("bound OR many OR low != high")
+    fits = F.when(F.col("bound"), F.col("candidate")).otherwise((F.col("cls") != F.col("top")) & _passes("at", "top_at", percent))
+    return met.select("token", "at", "cls", F.coalesce("head", "top").alias("head_cls"), fits.alias("candidate"))
 
 
 def _profiles(column: pa.Array) -> np.ndarray:
@@ -208,34 +236,19 @@ def _room(n1, profile1: np.ndarray, n2, profile2: np.ndarray, percent: int):
     return n1 + n2 - np.abs(profile1 - profile2).sum(axis=-1) >= 2 * overlap_needed(n1, n2, percent)
 
 
-def _across(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one posting list in different components that pass all filters; entries: token, at, cls, comp, profile."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, at, cls, comp, profiles in _runs(batches, 4, _profiles):
-            n, p = at & LOW, at >> 32
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            ends = np.concatenate([starts[1:], [len(token)]])
-            i = starts[ends - starts == 2]  # most lists are of two
-            i = i[(comp[i] != comp[i + 1]) & passes(n[i], p[i], n[i + 1], p[i + 1], percent)]
-            i = i[_room(n[i], profiles[i], n[i + 1], profiles[i + 1], percent)]
-            found = [(cls[i], cls[i + 1])]
-            for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
-                c = comp[a:b]
-                if (c == c[0]).all():
-                    continue
-                names, sizes = np.unique(c, return_counts=True)
-                largest = names[sizes.argmax()]
-                for i in np.flatnonzero(c != largest) + a:
-                    ok = passes(n[a:b], p[a:b], n[i], p[i], percent) & (c != comp[i])
-                    j = np.flatnonzero(ok & ((c == largest) | (cls[a:b] > cls[i]))) + a
-                    j = j[_room(n[j], profiles[j], n[i], profiles[i], percent)]
-                    found.append((cls[j], np.full(len(j), cls[i])))
-            x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-
-    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return entries.repartition(n, "token").sortWithinPartitions("token", "at", "cls").mapInArrow(make, "a bigint, b bigint")
+def _across(lists: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one posting list in different components that pass the length and positional filters; ``component``: c,
+    comp.  Lists within one component are left out by an aggregate; in the others, entries outside of the component that
+    has most of the list meet all entries of other components, each pair once."""
+    named = written(lists.select("token", "at", "cls").distinct().join(component, F.col("cls") == F.col("c")).select("token", "at", "cls", "comp"), "named")
+    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select(F.col("token").alias("t"))
+    active = written(named.join(mixed, F.col("token") == F.col("t")).drop("t"), "active")
+    drop_written(named)
+    most = active.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("token").alias("t")).agg(F.max_by("comp", F.struct("n", "comp")).alias("major"))
+    asks = written(active.join(most, F.col("token") == F.col("t")).filter("comp != major").select(F.col("t"), F.col("at").alias("at2"), F.col("cls").alias("cls2"), F.col("comp").alias("comp2"), "major"), "asks")
+    once = (F.col("comp") == F.col("major")) | (F.col("cls") > F.col("cls2"))
+    met = active.join(asks, (F.col("token") == F.col("t")) & (F.col("comp") != F.col("comp2")) & once & _passes("at", "at2", percent))
+    return met.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).distinct()
 
 
 def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -273,29 +286,33 @@ def _verified(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> D
     return met.select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT, class_bits: int = CLASS_BITS) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` (the smallest id reachable by links) and ``representative`` (true for
     one row of each component, one with that id).
 
     Texts are compared as sets of ``ngram``-word shingles after lower-casing A-Z; two link when 100 * intersection >=
     percent * union.  Null texts and texts without words have no shingles and stand alone: their component is their own
-    id, each is its own representative.  Null ids rank after all others.  Repeated rows are members of one component.
-    Columns of the same names are replaced; an empty table gives an empty table.
+    id, each is its own representative.  Ids are of any type that sorts; null ids rank after all others.  Repeated rows
+    are members of one component.  Columns of the same names are replaced; an empty table gives an empty table.
+    ``class_bits`` below 64 makes class names collide, for tests.
     """
     made = ["n_shingles", "component_id", "representative"]
     base = with_row_key(docs.drop(*made), id_col)
-    spark = docs.sparkSession
     bytes_ = F.col(text_col).cast("binary")
-    both = written(_sets(base.select("__row", F.col(id_col).cast("bigint").alias("id"), bytes_.alias("text")), ngram), "sets")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    both = written(_sets(base.select("__row", F.col(id_col).alias("id"), bytes_.alias("text")), ngram, id_type, class_bits), "sets")
     counts = _bucket_counts(both.filter("chunk IS NOT NULL").select("chunk", "counts"))
     members = both.filter("chunk IS NULL").select("row", "id", "n", "cls", "digest", "profile")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row")))
-    classes = members.filter("cls IS NOT NULL").groupBy("cls").agg(first.alias("first"), F.min("digest").alias("d1"), F.max("digest").alias("d2"), F.min("profile").alias("profile"), F.min("n").alias("n"))
+    classes = members.filter("cls IS NOT NULL").groupBy("digest").agg(first.alias("first"), F.min("cls").alias("cls"), F.min("profile").alias("profile"), F.min("n").alias("n"))
     classes = written(classes, "classes")
-    if not classes.filter("d1 != d2").isEmpty():
-        raise RuntimeError("two shingle sets share a 64-bit class")  # about 1 in 3e19 for each pair of sets
+    renamed = _renamed(classes, class_bits)
+    if renamed:
+        new = F.create_map(*(F.lit(x) for pair in renamed.items() for x in pair))
+        name = lambda df: df.withColumn("cls", F.when(F.col("cls").isNotNull(), F.coalesce(new[F.col("digest")], F.col("cls"))))
+        classes, members = written(name(classes), "classes"), name(members)
 
-    lists = written(_shared_tokens(_postings(base.select(bytes_.alias("text")), ngram, percent, counts), percent), "postings")
+    lists = written(_shared_tokens(_postings(base.select(bytes_.alias("text")), ngram, percent, counts, renamed, class_bits), percent), "postings")
     wanted = lists.select("cls").distinct().join(classes, "cls").select("cls", F.col("first.row").alias("r"))
     texts = written(base.select("__row", bytes_.alias("text")).join(wanted, F.col("__row") == F.col("r")).select("cls", "text"), "texts")
     pairs = lists.filter("candidate").select(F.least("cls", "head_cls").alias("a"), F.greatest("cls", "head_cls").alias("b")).distinct()
@@ -304,9 +321,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = written(_verified(close, texts, ngram, percent), "links")
     found = written(components(links), "components")
 
-    named = classes.join(found, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("component", "cls").alias("comp"), "profile")
-    named = lists.join(named, F.col("cls") == F.col("c")).select("token", "at", "cls", "comp", "profile")
-    rest = written(_across(named, percent).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    named = classes.join(found, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("component", "cls").alias("comp"))
+    rest = written(_close(_across(lists, named, percent).join(pairs, ["a", "b"], "left_anti"), classes, percent), "pairs")
     more = written(_verified(rest, texts, ngram, percent), "links")
     if not more.isEmpty():
         found = written(components(links.unionByName(more)), "components")
@@ -327,11 +343,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of each document; see :func:`near_groups` for nulls, ties and repeated rows."""
     return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the one with the smallest doc_id.  Documents without words stay."""
+    """One document of each component of near duplicates: the one with the smallest doc_id, one of repeated rows.  Documents
+    without words stay.  All columns pass; an empty table stays empty."""
     return near_groups(docs).filter("representative").select(*docs.columns)
 
 

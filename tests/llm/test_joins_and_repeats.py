@@ -69,6 +69,21 @@ def test_near_groups(spark, seed):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for *_, c in brute_groups(rows)})
 
 
+def test_near_groups_with_colliding_class_names(spark):
+    rows = corpus(1)
+    got = near_groups(spark.createDataFrame(rows, SCHEMA), class_bits=3)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == sorted(brute_groups(rows))
+
+
+def test_ids_may_be_names(spark):
+    rows = corpus(2)[:50]
+    named = spark.createDataFrame([(f"n{i:04d}", *rest) for i, *rest in rows], SCHEMA.replace("doc_id long", "doc_id string"))
+    got = near_groups(named).collect()
+    assert sorted((int(r.doc_id[1:]), r.n_shingles, int(r.component_id[1:])) for r in got) == sorted(brute_groups(rows))
+    gone = without_repeats(named, window=12, anchor=4).collect()
+    assert sorted((int(r[0][1:]), *r[1:]) for r in gone) == sorted(brute_repeats(rows, 12))
+
+
 def test_near_groups_with_null_and_repeated_ids(spark):
     rows = corpus(3)[:60]
     rows = rows + rows[:5] + [(None, t, "en", "s", 0) for _, t, *_ in rows[:5]] + [(None, "only null ids here my friend", "en", "s", 0)] * 2
