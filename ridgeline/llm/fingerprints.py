@@ -2,29 +2,33 @@
 
 All documents share one random walk: at step j a character c is written out and the walk moves on to the next character
 or stays, as a shared random bit for (j, c) says.  After an edit two walks fall back into step quickly, so a small edit
-distance becomes a small Hamming distance between the written-out strings.  A fingerprint has 256 bits.  Bit b is the
-sign of a sum of shared random signs over the characters written at steps equal to b modulo 256, so each bit samples
-steps from the whole text; the first steps also count weakly in every bit, which settles the bits of short texts.
-The likeness of two fingerprints is the cosine that their Hamming distance stands for, 0 to 1.
-
-Near pairs come from banding: classes of equal texts meet where they agree in a band of sampled bits or share sampled
-grams, and pairs are verified by edit distance.
+distance becomes a small Hamming distance between the written-out strings.  After white space a walk goes on at the next
+multiple of 16 steps, which takes up most of what an edit in a word has shifted.  A fingerprint has 256 bits.  Bit b is
+the sign of a sum of shared random signs over the other characters written at steps equal to b modulo 256, so each bit
+samples steps from the whole text; the first of them also count weakly in every bit, which settles the bits of short
+texts.  The likeness of two fingerprints is the cosine that their Hamming distance stands for, 0 to 1.
+
+Near texts come from banding: texts meet where they agree in a band of sampled bits, and edit distance verifies them.
+:func:`near_classes`, which the query runs, joins them to classes.  :func:`near_pairs` gives pairs, and adds sampled grams
+as keys: scattered edits throw two walks apart for good, so that bands alone find few of such pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, with_row_key, written
+from .common import drop_written, table, with_row_key, written
+from .components import components
 
 BITS = 256
 PERIOD = 4096
@@ -32,13 +36,22 @@ SIGNS = 1 << 20
 MAIN_WEIGHT = 16
 BUFFER_CHARS = 3_000_000
 BUFFER_ROWS = 4096
-ROWS_PER_PART = 8192
 BANDS, BAND_BITS = 24, 24
 GRAMS = 96
 #: From how many characters on: the size of grams, and how many a pair shares.  Below 40 characters some gram always
 #: survives an edit similarity of 0.8, as edits can't cut a text any finer; above that the figures are measured.
 GRAM_SIZES = ((1, 1, 1), (5, 2, 1), (10, 3, 1), (20, 4, 1), (40, 5, 2), (64, 6, 2), (100, 8, 2), (400, 8, 3), (3000, 10, 2))
 FEW_GRAMS = 32
+#: Bands of near_classes: 24 bits from each of these hexadecimal digits of a fingerprint on.  Fewer bits find more pairs,
+#: and let more strangers share a bucket: n / 2^24 of n texts.  A pair is a candidate if at most UNLIKE
+#: of its 256 bits differ, below what strangers' mostly do.
+BAND_DIGITS = 6
+BAND_STARTS = range(0, BITS // 4 - BAND_DIGITS + 1, 3)
+UNLIKE = 96
+PAIRS_PER_TASK = 4096
+#: A walk leaves white space at a multiple of so many steps.
+STRIDE = 16
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,6 +68,7 @@ def _tables(seed: int = 17):
     for j in range(2 * PERIOD - 1, -1, -1):
         wait = np.where(moves[:, j % PERIOD] == 1, 1, wait + 1)
         waits[:, j % PERIOD] = wait
+    waits[SPACE] = STRIDE - np.arange(PERIOD) % STRIDE
     return waits.ravel(), [row.tolist() for row in waits], signs, dense
 
 
@@ -109,15 +123,18 @@ def fingerprint_bits(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
     for a in range(0, len(codes), 1 << 18):  # a long text in pieces, to bound memory
         own = codes[a : a + (1 << 18)]
         first, last = int(steps[a]), int(steps[a + len(own)])
-        j = np.arange(first, last)
-        written_out = np.repeat(own, np.diff(steps[a : a + len(own) + 1]))
+        seen = ~SPACE[own]
+        waits, own = np.diff(steps[a : a + len(own) + 1])[seen], own[seen]
+        ends = np.cumsum(waits)
+        j = np.arange(ends[-1] if len(ends) else 0) + np.repeat(steps[a : a + len(seen)][seen] - ends + waits, waits)
+        written_out = np.repeat(own, waits)
         index = (j * 0x9E3B1 + (j >> 20) * 0x5BD1F + written_out * 0x85EBD) & (SIGNS - 1)
         drawn = np.zeros(-(-last // BITS) * BITS - first // BITS * BITS, np.int8)
-        drawn[first % BITS : first % BITS + len(j)] = signs[index]
+        drawn[j - first // BITS * BITS] = signs[index]
         total += MAIN_WEIGHT * drawn.reshape(-1, BITS).sum(axis=0, dtype=np.int64)
         if a == 0:
-            head = written_out[:BITS]
-            total += dense[head & 63, np.arange(len(head))].sum(axis=0, dtype=np.int64)
+            early = j < BITS
+            total += dense[written_out[early] & 63, j[early]].sum(axis=0, dtype=np.int64)
     return total > 0
 
 
@@ -138,74 +155,100 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows dealt out by descending id: part, halo, id, text, sorted.  Each part ends with a copy of the first row of the
-    part after it (after the last part: of the first one), so that every row's follower is in its task.
-
-    Only cut points and first rows' ids, one a part, reach the driver."""
-    spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("h", F.xxhash64("text"))
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // ROWS_PER_PART))
-    place = F.col("id").cast("double")
-    cuts = base.select(place.alias("x")).approxQuantile("x", [k / n_parts for k in range(1, n_parts)], 0.25 / n_parts)
-    edges = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
-    dealt = Bucketizer(splits=edges, inputCol="x", outputCol="bucket", handleInvalid="keep").transform(base.withColumn("x", place))
-    last = len(edges) - 2
-    dealt = dealt.select(
-        F.when(F.col("id").isNull(), last + 1).otherwise(F.lit(last) - F.col("bucket")).cast("int").alias("part"), F.lit(False).alias("halo"), "id", "h", "text"
-    )
-    firsts = dealt.groupBy("part").agg(F.max(F.struct("id", "h")).alias("first")).collect()
-    heads = sorted((r.part, r.first.id, r.first.h) for r in firsts)
-    if not heads:
-        return dealt
-    before = [(heads[k - 1][0], part, i, h) for k, (part, i, h) in enumerate(heads)]
-    wanted = spark.createDataFrame(before, "target int, p int, i bigint, hh bigint")
-    halo = dealt.join(F.broadcast(wanted), (F.col("part") == F.col("p")) & F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("hh")))
-    halo = halo.groupBy("target").agg(F.first("id").alias("id"), F.first("h").alias("h"), F.first("text").alias("text"))
-    halo = halo.select(F.col("target").alias("part"), F.lit(True).alias("halo"), "id", "h", "text")
-    placed = dealt.unionByName(halo).repartitionById(last + 2, F.col("part"))  # a part a task
-    return placed.sortWithinPartitions("part", "halo", F.col("id").desc_nulls_last(), F.col("h").desc())
+def _key(id_, h: int, row: int) -> tuple:
+    """Ascending in the reverse of the order of rows: descending id, null last, then hash and number."""
+    return id_ is not None, id_ if id_ is not None else 0, h, row
 
 
-def compare_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each row's fingerprint, that of its edited text (see :func:`edited_text`), and how like it is to that and to the
-    fingerprint of the next row by descending id.
+def _in_order(base: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows dealt out by descending id: part, halo, row, id, h, zipped text, sorted; ``base`` has a ``__row``.  Each part
+    ends with a copy of the first row of the part after it (after the last part: of the first one), so that every row's
+    follower is in its task.
 
-    Null texts count as empty.  Null ids come last; among equal ids the text's hash decides, and repeated rows follow each
-    other.  A single row follows itself.  Empty texts share one fingerprint.  Other columns are left out; an empty table
-    gives an empty table."""
-    schema = f"`{id_col}` bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-
-    def settle(rows: list[tuple]) -> pa.RecordBatch:
-        """All rows but the last, whose follower isn't here yet."""
-        keep = [k for k in range(len(rows) - 1) if not rows[k][1]]
-        texts = [r[3] for r in rows]
-        edited = [edited_text(texts[k], texts[k + 1]) for k in keep]
-        prints = fingerprints(texts + edited)
-        own, others = prints[: len(texts)], prints[len(texts) :]
-        out = [
-            (rows[k][2], len(texts[k]), hashlib.sha256(e.encode()).hexdigest(), own[k].hex(), f.hex(), likeness(own[k], f), likeness(own[k], own[k + 1]))
-            for k, e, f in zip(keep, edited, others)
-        ]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * len(kinds), kinds)], names)
+    There are as many parts as shuffle partitions, or as splits of the table if those are more.  Their first rows' keys
+    reach the driver, one a part; tasks write the copies themselves.  Texts travel compressed."""
+    spark = base.sparkSession
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = base.select(F.col("__row").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("text"))
+    order = [F.col("id").desc_nulls_last(), F.col("h").desc(), F.col("row").desc()]
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
+    ranged = rows.select("row", "id", "h").repartitionByRange(n_parts, *order).withColumn("part", F.spark_partition_id())
+    firsts = ranged.groupBy("part").agg(F.max(F.struct(F.col("id").isNotNull().alias("known"), "id", "h", "row")).alias("first")).collect()
+    heads = sorted(_key(r.first.id, r.first.h, r.first.row) for r in firsts)
+    last = len(heads) - 1
+    names = ["part", "halo", "row", "id", "h", "zipped"]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            at, halo, pick = [], [], []
+            zipped = [squeeze(t.as_buffer().to_pybytes()) for t in batch.column(3)]
+            for k, key in enumerate(map(_key, *(batch.column(c).to_pylist() for c in (1, 2, 0)))):
+                i = bisect_left(heads, key)
+                at.append(last - i)
+                halo.append(False)
+                pick.append(k)
+                if heads[i] == key:  # the part before, in order, ends with a copy
+                    at.append((last - i - 1) % (last + 1))
+                    halo.append(True)
+                    pick.append(k)
+            chosen = batch.take(pa.array(pick, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int32()), pa.array(halo), chosen.column(0), chosen.column(1), chosen.column(2), pa.array([zipped[k] for k in pick], pa.binary())], names
+            )
+
+    kind = base.schema[id_col].dataType.simpleString()
+    dealt = rows.mapInArrow(place, f"part int, halo boolean, row bigint, id {kind}, h bigint, zipped binary")
+    return dealt.repartitionById(last + 1 or 1, F.col("part")).sortWithinPartitions("part", "halo", *order)  # a part a task
+
+
+def _compared(base: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """row, id, h, what :func:`compare_fingerprints` gives for each row of ``base``, and ``back``, the fingerprint of the
+    text read backwards: a walk that an edit throws off for good is off on one side of it only."""
+    kind = base.schema[id_col].dataType.simpleString()
+    schema = f"row bigint, id {kind}, h bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, back string"
+    names = [f.strip().split(" ")[0] for f in schema.split(",")]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        chars = 0
+        unzip, rows, chars = zstandard.ZstdDecompressor().decompress, [], 0
+
+        def settle(id_type: pa.DataType) -> pa.RecordBatch:
+            """All rows but the last, whose follower isn't here yet."""
+            keep = [k for k in range(len(rows) - 1) if not rows[k][1]]
+            texts = [r[5] for r in rows]
+            edited = [edited_text(texts[k], texts[k + 1]) for k in keep]
+            prints = fingerprints(texts + edited + [texts[k][::-1] for k in keep])
+            own, others, back = prints[: len(texts)], prints[len(texts) : len(texts) + len(keep)], prints[len(texts) + len(keep) :]
+            out = [
+                (*rows[k][2:5], len(texts[k]), hashlib.sha256(e.encode()).hexdigest(), own[k].hex(), f.hex(), likeness(own[k], f), likeness(own[k], own[k + 1]), r.hex())
+                for k, e, f, r in zip(keep, edited, others, back)
+            ]
+            kinds = [pa.int64(), id_type, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * len(kinds), kinds)], names)
+
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                rows.append(row)
-                chars += len(row[3])
+            id_type = batch.column(3).type
+            for *row, zipped in zip(*(batch.column(c).to_pylist() for c in range(6))):
+                rows.append((*row, unzip(zipped).decode("utf-8", "surrogatepass")))
+                chars += len(rows[-1][5])
                 if len(rows) > 1 and (chars > BUFFER_CHARS or len(rows) > BUFFER_ROWS):
-                    yield settle(rows)
-                    rows, chars = rows[-1:], len(rows[-1][3])
+                    yield settle(id_type)
+                    rows[:-1], chars = [], len(rows[-1][5])
         if len(rows) > 1:
-            yield settle(rows)
+            yield settle(id_type)
+
+    return _in_order(base, id_col, text_col).mapInArrow(compare, schema)
 
-    return _in_order(docs, id_col, text_col).select("part", "halo", F.col("id").cast("bigint"), "text").mapInArrow(compare, schema)
+
+def compare_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each row's fingerprint, that of its edited text (see :func:`edited_text`), and how like it is to that and to the
+    fingerprint of the next row by descending id.
+
+    Null texts count as empty.  Ids are of any type that sorts; null ids come last; among equal ids the text's hash
+    decides, and repeated rows follow each other.  A single row follows itself.  Empty texts share one fingerprint.
+    Other columns are left out; an empty table gives an empty table."""
+    base = with_row_key(docs.select(id_col, text_col), id_col)
+    return _compared(base, id_col, text_col).drop("row", "h", "back").withColumnRenamed("id", id_col)
 
 
 def edit_similarity(a: str, b: str, least: float) -> float:
@@ -340,5 +383,114 @@ def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text
     return found.unionByName(copies.select(F.col("rep").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("likeness"), F.lit(1.0).alias("edit_similarity")))
 
 
+def near_enough(a: str, b: str, least: float) -> bool:
+    """Whether the edit similarity is ``least`` or more.  Texts that differ in one short stretch need no table."""
+    longer = max(len(a), len(b))
+    room, start, most = int((1 - least) * longer + 1e-9), 0, min(len(a), len(b))
+    if abs(len(a) - len(b)) > room:
+        return False
+    step = 1 << most.bit_length()
+    while step := step >> 1:
+        if start + step <= most and a[start : start + step] == b[start : start + step]:
+            start += step
+    x, y = a[start:], b[start:]
+    end, most, step = 0, min(len(x), len(y)), 1 << min(len(x), len(y)).bit_length()
+    while step := step >> 1:
+        if end + step <= most and x[len(x) - end - step : len(x) - end] == y[len(y) - end - step : len(y) - end]:
+            end += step
+    return max(len(x), len(y)) - end <= room or edit_similarity(a, b, least) >= least
+
+
+def _unlike(a: str, b: str, first: int) -> Column:
+    """The number of differing bits of two fingerprints, given as arrays of whole numbers from place ``first`` on."""
+    return sum((F.bit_count(F.col(a)[first + k].bitwiseXOR(F.col(b)[first + k])) for k in range(1, BITS // 64)), F.bit_count(F.col(a)[first].bitwiseXOR(F.col(b)[first])))
+
+
+def _words(fingerprint: Column) -> Column:
+    """A fingerprint (of hexadecimal digits) as an array of whole numbers of 64 bits."""
+    half = lambda at: F.conv(F.substring(fingerprint, at, 8), 16, 10).cast("bigint")
+    return F.array(*(F.shiftleft(half(1 + 16 * k), 32).bitwiseOR(half(9 + 16 * k)) for k in range(2 * BITS // 64)))
+
+
+def _verified(pairs: DataFrame, base: DataFrame, text_col: str, least: float) -> DataFrame:
+    """The pairs (a, b) of rows whose texts are near.  Pairs go to the task of their a; one with many is dealt over several
+    tasks.  Each text moves once a pair, and texts without a pair don't."""
+    counts = pairs.groupBy(F.col("a").alias("c")).agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK).alias("k"))
+    salted = written(pairs.join(counts, F.col("a") == F.col("c")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("k")).alias("salt")), "print-pairs")
+    asked = salted.select("a", "salt", F.lit(False).alias("head"), F.col("b").alias("want"))
+    asked = written(asked.unionByName(salted.select("a", "salt").distinct().select("a", "salt", F.lit(True).alias("head"), F.col("a").alias("want"))), "print-asked")
+    texts = base.select("__row", F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(asked, F.col("__row") == F.col("want")).select("a", "salt", "head", "want", "text")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = None
+        for batch in batches:
+            found = []
+            for a, _, head, want, own in zip(*(c.to_pylist() for c in batch.columns)):
+                if head:
+                    text = own
+                elif near_enough(text, own, least):
+                    found.append((a, want))
+            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    n = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.repartition(n, "a", "salt").sortWithinPartitions("a", "salt", F.col("head").desc()).mapInArrow(check, "a bigint, b bigint")
+
+
+def near_classes(base: DataFrame, prints: DataFrame, text_col: str = "text", least: float = 0.8) -> DataFrame:
+    """(member, class): the smallest row of the class of near texts of each row, from bands and verification.  ``base``
+    has a ``__row``; ``prints``: row, n_chars, h, fingerprint, back.
+
+    Rows with one hash, length and fingerprints are one text and take part once.  Texts meet where they agree in one of
+    the bands of sampled bits that start at ``BAND_STARTS``, of the fingerprint forwards or backwards, and at most
+    ``UNLIKE`` of its bits differ in one of the two.  In each band a text meets the
+    head of its bucket; of the heads it goes to the most alike, and edit distance decides.  Texts of one bucket that are
+    in different classes after that all meet, in one join that adaptive execution can split, so no pair that agrees in a
+    band is lost and a group of m near texts costs about m pairs.  Classes are closed under verified links."""
+    one = ["h", "n_chars", "fingerprint", "back"]
+    texts = written(prints.groupBy(*one).agg(F.min("row").alias("rep")).select("rep", *one), "print-texts")
+    bits = written(texts.select("rep", _words(F.concat("fingerprint", "back")).alias("bits")), "print-bits")
+    both = F.concat("fingerprint", "back")
+    band = lambda at: F.shiftleft(F.lit(at).cast("bigint"), 32).bitwiseOR(F.conv(F.substring(both, 1 + at, BAND_DIGITS), 16, 10).cast("bigint"))
+    banded = texts.select("rep", F.explode(F.array(*(band(at + side) for side in (0, BITS // 4) for at in BAND_STARTS))).alias("band"))
+    heads = banded.groupBy(F.col("band").alias("hb")).agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    entries = written(banded.join(heads, F.col("band") == F.col("hb")).select("rep", "band", "head"), "print-bands")
+    side = lambda k: bits.select(F.col("rep").alias(k), F.col("bits").alias(f"bits_{k}"))
+    like = lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").withColumn("unlike", F.least(_unlike("bits_a", "bits_b", 0), _unlike("bits_a", "bits_b", BITS // 64))).filter(F.col("unlike") <= UNLIKE)
+    pairs = like(entries.filter("rep != head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct())
+    best = written(pairs.groupBy("b").agg(F.min(F.struct("unlike", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"), "print-best")
+    links = written(_verified(best, base, text_col, least), "print-links")
+    found = written(components(links), "components")
+
+    placed = entries.join(found, F.col("rep") == F.col("node"), "left").select("rep", "band", F.coalesce("component", "rep").alias("comp"))
+    placed = written(placed, "print-placed")
+    mixed = placed.groupBy(F.col("band").alias("mb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("mb")
+    active = written(placed.join(mixed, F.col("band") == F.col("mb")).select("rep", "band", "comp"), "print-active")
+    most = active.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("band").alias("mb")).agg(F.max_by("comp", F.struct("n", "comp")).alias("major"))
+    asks = active.join(most, F.col("band") == F.col("mb")).filter("comp != major").select("mb", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"), "major")
+    once = (F.col("comp") == F.col("major")) | (F.col("rep") > F.col("rep2"))
+    met = active.join(written(asks, "print-asks"), (F.col("band") == F.col("mb")) & (F.col("comp") != F.col("comp2")) & once)
+    rest = met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+    known = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = written(like(rest.join(known, ["a", "b"], "left_anti")).select("a", "b"), "print-rest")
+    more = written(_verified(rest, base, text_col, least), "print-links")
+    if not more.isEmpty():
+        found = written(components(links.unionByName(more)), "components")
+    own = texts.join(found, F.col("rep") == F.col("node"), "left").select(*(F.col(c).alias(f"__{c}") for c in one), F.coalesce("component", "rep").alias("class"))
+    same = (F.col("h") == F.col("__h")) & (F.col("n_chars") == F.col("__n_chars")) & (F.col("fingerprint") == F.col("__fingerprint")) & (F.col("back") == F.col("__back"))
+    for old in (entries, best, placed, active, rest):
+        drop_written(old)
+    return prints.join(written(own, "print-classes"), same).select(F.col("row").alias("member"), "class")
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_fingerprints(table(spark, sf_dir, "documents"))
+    """Fingerprints of each document and of its edited text (see :func:`compare_fingerprints` for nulls, ties and repeated
+    rows), and ``near_id``: the smallest doc_id of its class of near texts, from banding and verification (see
+    :func:`near_classes`); a document without near texts has its own."""
+    base = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    prints = written(_compared(base, "doc_id", "text"), "prints")
+    near = near_classes(base, prints)
+    named = near.join(prints.select("row", "id"), F.col("member") == F.col("row")).select("member", "class", "id")
+    first = named.groupBy(F.col("class").alias("c")).agg(F.min("id").alias("near_id"))
+    named = written(named.join(first, F.col("class") == F.col("c")).select("member", "near_id"), "print-named")
+    out = prints.join(named, F.col("row") == F.col("member")).withColumnRenamed("id", "doc_id")
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "near_id")

@@ -80,6 +80,86 @@ def test_compare_fingerprints(spark):
     assert one.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one.near_next == 1.0
 
 
+def near_corpus(seed, groups, size, strangers=60, edits=12):
+    """Groups of near copies, with up to ``edits`` edits in about 240 characters, and texts that stand alone."""
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        base = prose(rng, 40)[:240]
+        for k in range(size):
+            w = list(base)
+            for _ in range(rng.randrange(edits + 1)):
+                w[rng.randrange(len(w))] = rng.choice(["", "q", "zz"])
+            rows.append((1000 * (g + 1) + k, "".join(w)))
+    return rows + [(i, prose(rng, rng.randrange(3, 60))) for i in range(strangers)]
+
+
+def classes_of(spark, rows, least=0.8):
+    base = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__row", F.col("doc_id"))
+    prints = base.sparkSession.createDataFrame(fp._compared(base, "doc_id", "text").collect())
+    return {r["member"]: r["class"] for r in fp.near_classes(base, prints, least=least).collect()}
+
+
+def test_near_classes_by_definition(spark):
+    rows = near_corpus(21, 4, 25) + [(9000, ""), (9001, ""), (9002, "a"), (9003, near_corpus(21, 4, 25)[3][1])]
+    sides = [[np.unpackbits(np.frombuffer(p, np.uint8)) for p in fp.fingerprints([t[::step] for _, t in rows])] for step in (1, -1)]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            banded = any((b[i][4 * s : 4 * (s + fp.BAND_DIGITS)] == b[j][4 * s : 4 * (s + fp.BAND_DIGITS)]).all() for b in sides for s in fp.BAND_STARTS)
+            if banded and min((b[i] != b[j]).sum() for b in sides) <= fp.UNLIKE and fp.edit_similarity(rows[i][1], rows[j][1], 0.8) >= 0.8:
+                parent[root(i)] = root(j)
+    want = {}
+    for i, (name, _) in enumerate(rows):
+        want.setdefault(root(i), set()).add(name)
+    got = {}
+    for name, c in classes_of(spark, rows).items():
+        got.setdefault(c, set()).add(name)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and all(min(v) == c for c, v in got.items())
+
+
+@pytest.mark.parametrize("groups,size", [(6, 40), (1, 1000)])
+def test_near_classes_recall(spark, groups, size):
+    """Members of a group are up to 24 edits of 240 characters apart."""
+    got = classes_of(spark, near_corpus(22, groups, size))
+    linked = total = 0
+    for g in range(groups):
+        sizes = {}
+        for k in range(size):
+            c = got[1000 * (g + 1) + k]
+            sizes[c] = sizes.get(c, 0) + 1
+        linked += sum(n * (n - 1) // 2 for n in sizes.values())
+        total += size * (size - 1) // 2
+    print("RECALL", groups, size, linked / total)
+    assert linked / total >= 0.9
+    assert all(got[i] == i for i in range(60))
+
+
+def test_near_enough():
+    rng = random.Random(13)
+    for _ in range(300):
+        a = "".join(rng.choice("ab") for _ in range(rng.randrange(0, 30)))
+        w = list(a)
+        for _ in range(rng.randrange(8)):
+            if w:
+                w[rng.randrange(len(w))] = rng.choice(["", "a", "ba"])
+        b = "".join(w)
+        assert fp.near_enough(a, b, 0.8) == (fp.edit_similarity(a, b, 0.8) >= 0.8)
+
+
+def test_order_of_ids_of_any_type(spark):
+    rows = [(None, "x"), ("b", "two"), ("a", "one"), ("c", "three"), ("b", "other two")]
+    got = fp.compare_fingerprints(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    want = hashlib.sha256(fp.edited_text("three", "two").encode()).hexdigest(), hashlib.sha256(fp.edited_text("three", "other two").encode()).hexdigest()
+    assert {r.doc_id: r for r in got}["c"].edited_sha256 in want and len(got) == 5
+    assert {r.doc_id: r for r in got}["a"].edited_sha256 == hashlib.sha256(fp.edited_text("one", "x").encode()).hexdigest()
+
+
 def test_edit_similarity():
     def slow(a, b):
         row = list(range(len(b) + 1))
