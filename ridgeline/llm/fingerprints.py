@@ -42,11 +42,10 @@ GRAMS = 96
 #: survives an edit similarity of 0.8, as edits can't cut a text any finer; above that the figures are measured.
 GRAM_SIZES = ((1, 1, 1), (5, 2, 1), (10, 3, 1), (20, 4, 1), (40, 5, 2), (64, 6, 2), (100, 8, 2), (400, 8, 3), (3000, 10, 2))
 FEW_GRAMS = 32
-#: Bands of near_classes: 24 bits from each of these hexadecimal digits of a fingerprint on.  Fewer bits find more pairs,
-#: and let more strangers share a bucket: n / 2^24 of n texts.  A pair is a candidate if at most UNLIKE
-#: of its 256 bits differ, below what strangers' mostly do.
-BAND_DIGITS = 6
-BAND_STARTS = range(0, BITS // 4 - BAND_DIGITS + 1, 3)
+#: Bands of near_classes: in each 64 bits of a fingerprint, BAND_BITS from each of these places on.  Fewer bits find more
+#: pairs, and let more strangers share a bucket: n / 2^24 of n texts.  A pair is a candidate if at most UNLIKE of its 256
+#: bits differ, below what strangers' mostly do.
+BAND_STARTS = (0, 8, 16, 24, 32, 40)
 UNLIKE = 96
 PAIRS_PER_TASK = 4096
 #: A walk leaves white space at a multiple of so many steps.
@@ -78,8 +77,9 @@ def character_classes(text: str) -> np.ndarray:
     return np.where(points < 128, points, 128 + ((points * np.uint32(2654435761)) >> np.uint32(25))).astype(np.int64)
 
 
-def walk(codes: list[np.ndarray]) -> list[np.ndarray]:
-    """For each text the step at which each character is first written, and at the end the number of steps.
+def walk(codes: list[np.ndarray], begin: list[int] | None = None) -> list[np.ndarray]:
+    """For each text the step at which each character is first written, and at the end the step after the last; walks
+    begin at step 0, or as ``begin`` says.
 
     Texts walk side by side, longest first; the last few long ones go on one by one."""
     flat_waits, rows, _, _ = _tables()
@@ -90,7 +90,8 @@ def walk(codes: list[np.ndarray]) -> list[np.ndarray]:
     for k, i in enumerate(order):
         flat[starts[k] : starts[k] + sizes[k]] = codes[i] * PERIOD
     steps = np.zeros(starts[-1], np.int64)
-    at, place, mask, i = np.zeros(len(order), np.int64), starts[:-1].copy(), PERIOD - 1, 0
+    at = np.zeros(len(order), np.int64) if begin is None else np.array([begin[i] for i in order], np.int64)
+    place, mask, i = starts[:-1].copy(), PERIOD - 1, 0
     # live[i]: texts with more than i characters, for the lengths at which it changes
     live = int(np.searchsorted(-sizes, 0))
     while live > 24:
@@ -116,8 +117,8 @@ def walk(codes: list[np.ndarray]) -> list[np.ndarray]:
     return found
 
 
-def fingerprint_bits(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """The 256 bits of a text from its walk."""
+def walk_sums(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """What a stretch of a walk adds to the sums of the 256 bits; ``steps`` has one entry more than ``codes``."""
     _, _, signs, dense = _tables()
     total = np.zeros(BITS, np.int64)
     for a in range(0, len(codes), 1 << 18):  # a long text in pieces, to bound memory
@@ -132,15 +133,43 @@ def fingerprint_bits(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
         drawn = np.zeros(-(-last // BITS) * BITS - first // BITS * BITS, np.int8)
         drawn[j - first // BITS * BITS] = signs[index]
         total += MAIN_WEIGHT * drawn.reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-        if a == 0:
+        if first < BITS:
             early = j < BITS
             total += dense[written_out[early] & 63, j[early]].sum(axis=0, dtype=np.int64)
-    return total > 0
+    return total
+
+
+def fingerprint_bits(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """The 256 bits of a text from its walk."""
+    return walk_sums(codes, steps) > 0
+
+
+def _packed(sums: np.ndarray) -> bytes:
+    return np.packbits(sums > 0).tobytes()
+
+
+def with_edited(texts: list[str], keep: list[int]) -> tuple[list[bytes], list[bytes], list[bytes]]:
+    """The fingerprints of ``texts``; and for each place k of ``keep``, those of its text edited with the text after it
+    (see :func:`edited_text`) and of its text backwards.  An edited text walks on where the kept part of its text ends."""
+    codes = [character_classes(t) for t in texts]
+    steps = walk(codes)
+    cuts = [len(codes[k]) - len(codes[k]) // 2 for k in keep]
+    tails = [codes[k + 1][: len(codes[k]) // 2] for k in keep]
+    onward = walk(tails, [int(steps[k][cut]) for k, cut in zip(keep, cuts)])
+    own: dict[int, bytes] = {}
+    edited = []
+    for k, cut, tail, after in zip(keep, cuts, tails, onward):
+        head = walk_sums(codes[k][:cut], steps[k][: cut + 1])
+        own[k] = _packed(head + walk_sums(codes[k][cut:], steps[k][cut:]))
+        edited.append(_packed(head + walk_sums(tail, after)))
+    prints = [own[k] if k in own else _packed(walk_sums(codes[k], steps[k])) for k in range(len(texts))]
+    turned = [codes[k][::-1] for k in keep]
+    return prints, edited, [_packed(walk_sums(c, s)) for c, s in zip(turned, walk(turned))]
 
 
 def fingerprints(texts: list[str]) -> list[bytes]:
     codes = [character_classes(t) for t in texts]
-    return [np.packbits(fingerprint_bits(c, s)).tobytes() for c, s in zip(codes, walk(codes))]
+    return [_packed(walk_sums(c, s)) for c, s in zip(codes, walk(codes))]
 
 
 def likeness(a: bytes, b: bytes) -> float:
@@ -216,12 +245,11 @@ def _compared(base: DataFrame, id_col: str, text_col: str) -> DataFrame:
             """All rows but the last, whose follower isn't here yet."""
             keep = [k for k in range(len(rows) - 1) if not rows[k][1]]
             texts = [r[5] for r in rows]
-            edited = [edited_text(texts[k], texts[k + 1]) for k in keep]
-            prints = fingerprints(texts + edited + [texts[k][::-1] for k in keep])
-            own, others, back = prints[: len(texts)], prints[len(texts) : len(texts) + len(keep)], prints[len(texts) + len(keep) :]
+            own, others, back = with_edited(texts, keep)
+            digests = [hashlib.sha256(edited_text(texts[k], texts[k + 1]).encode()).hexdigest() for k in keep]
             out = [
-                (*rows[k][2:5], len(texts[k]), hashlib.sha256(e.encode()).hexdigest(), own[k].hex(), f.hex(), likeness(own[k], f), likeness(own[k], own[k + 1]), r.hex())
-                for k, e, f, r in zip(keep, edited, others, back)
+                (*rows[k][2:5], len(texts[k]), d, own[k].hex(), f.hex(), likeness(own[k], f), likeness(own[k], own[k + 1]), r.hex())
+                for k, d, f, r in zip(keep, digests, others, back)
             ]
             kinds = [pa.int64(), id_type, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * len(kinds), kinds)], names)
@@ -441,17 +469,16 @@ def near_classes(base: DataFrame, prints: DataFrame, text_col: str = "text", lea
     has a ``__row``; ``prints``: row, n_chars, h, fingerprint, back.
 
     Rows with one hash, length and fingerprints are one text and take part once.  Texts meet where they agree in one of
-    the bands of sampled bits that start at ``BAND_STARTS``, of the fingerprint forwards or backwards, and at most
-    ``UNLIKE`` of its bits differ in one of the two.  In each band a text meets the
+    the bands of sampled bits (see ``BAND_STARTS``), of the fingerprint forwards or backwards, and at most ``UNLIKE`` of its
+    bits differ in one of the two.  In each band a text meets the
     head of its bucket; of the heads it goes to the most alike, and edit distance decides.  Texts of one bucket that are
     in different classes after that all meet, in one join that adaptive execution can split, so no pair that agrees in a
     band is lost and a group of m near texts costs about m pairs.  Classes are closed under verified links."""
     one = ["h", "n_chars", "fingerprint", "back"]
     texts = written(prints.groupBy(*one).agg(F.min("row").alias("rep")).select("rep", *one), "print-texts")
     bits = written(texts.select("rep", _words(F.concat("fingerprint", "back")).alias("bits")), "print-bits")
-    both = F.concat("fingerprint", "back")
-    band = lambda at: F.shiftleft(F.lit(at).cast("bigint"), 32).bitwiseOR(F.conv(F.substring(both, 1 + at, BAND_DIGITS), 16, 10).cast("bigint"))
-    banded = texts.select("rep", F.explode(F.array(*(band(at + side) for side in (0, BITS // 4) for at in BAND_STARTS))).alias("band"))
+    band = lambda k, at: F.shiftrightunsigned(F.col("bits")[k], at).bitwiseAND(F.lit((1 << BAND_BITS) - 1)).bitwiseOR(F.lit((8 * at + k) << 32))
+    banded = bits.select("rep", F.explode(F.array(*(band(k, at) for k in range(2 * BITS // 64) for at in BAND_STARTS))).alias("band"))
     heads = banded.groupBy(F.col("band").alias("hb")).agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     entries = written(banded.join(heads, F.col("band") == F.col("hb")).select("rep", "band", "head"), "print-bands")
     side = lambda k: bits.select(F.col("rep").alias(k), F.col("bits").alias(f"bits_{k}"))
@@ -490,7 +517,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = written(_compared(base, "doc_id", "text"), "prints")
     near = near_classes(base, prints)
     named = near.join(prints.select("row", "id"), F.col("member") == F.col("row")).select("member", "class", "id")
-    first = named.groupBy(F.col("class").alias("c")).agg(F.min("id").alias("near_id"))
+    named = written(named, "print-members")
+    first = written(named.groupBy(F.col("class").alias("c")).agg(F.min("id").alias("near_id")), "print-firsts")
     named = written(named.join(first, F.col("class") == F.col("c")).select("member", "near_id"), "print-named")
     out = prints.join(named, F.col("row") == F.col("member")).withColumnRenamed("id", "doc_id")
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "near_id")
