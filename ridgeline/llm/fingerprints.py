@@ -3,10 +3,10 @@
 All documents share one random walk: at step j a character c is written out and the walk moves on to the next character
 or stays, as a shared random bit for (j, c) says.  After an edit two walks fall back into step quickly, so a small edit
 distance becomes a small Hamming distance between the written-out strings.  After white space a walk goes on at the next
-multiple of 16 steps, which takes up most of what an edit in a word has shifted.  A fingerprint has 256 bits.  Bit b is
-the sign of a sum of shared random signs over the other characters written at steps equal to b modulo 256, so each bit
-samples steps from the whole text; the first of them also count weakly in every bit, which settles the bits of short
-texts.  The likeness of two fingerprints is the cosine that their Hamming distance stands for, 0 to 1.
+multiple of 16 steps, which takes up most of what an edit in a word has shifted.  A fingerprint has 256 bits.  Bit b
+samples one of the characters first written at steps equal to b modulo 256, all over the text, by the least of shared
+random numbers of step and character, so two texts sample alike as far as their walks agree.  The likeness of two
+fingerprints is the share of common samples that their Hamming distance stands for, 0 to 1.
 
 Near texts come from banding: texts meet where they agree in a band of sampled bits, and edit distance verifies them.
 :func:`near_classes`, which the query runs, joins them to classes.  :func:`near_pairs` gives pairs, and adds sampled grams
@@ -32,8 +32,6 @@ from .components import components
 
 BITS = 256
 PERIOD = 4096
-SIGNS = 1 << 20
-MAIN_WEIGHT = 16
 BUFFER_CHARS = 3_000_000
 BUFFER_ROWS = 4096
 BANDS, BAND_BITS = 24, 24
@@ -42,12 +40,14 @@ GRAMS = 96
 #: survives an edit similarity of 0.8, as edits can't cut a text any finer; above that the figures are measured.
 GRAM_SIZES = ((1, 1, 1), (5, 2, 1), (10, 3, 1), (20, 4, 1), (40, 5, 2), (64, 6, 2), (100, 8, 2), (400, 8, 3), (3000, 10, 2))
 FEW_GRAMS = 32
-#: Bands of near_classes: in each 64 bits of a fingerprint, BAND_BITS from each of these places on.  Fewer bits find more
-#: pairs, and let more strangers share a bucket: n / 2^24 of n texts.  A pair is a candidate if at most UNLIKE of its 256
-#: bits differ, below what strangers' mostly do.
+#: Bands of near_classes: in each 64 bits of a fingerprint, NEAR_BITS from each of these places on.  Fewer bits find more
+#: pairs, and let more strangers share a bucket: n / 2^22 of n texts.  A pair is a candidate if at most UNLIKE of its 256
+#: bits differ, four deviations below what strangers' do.
+NEAR_BITS = 22
 BAND_STARTS = (0, 8, 16, 24, 32, 40)
-UNLIKE = 96
+UNLIKE, ALIKE = 96, 48
 PAIRS_PER_TASK = 4096
+NONE = np.uint32(0xFFFFFFFF)
 #: A walk leaves white space at a multiple of so many steps.
 STRIDE = 16
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -56,11 +56,10 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @lru_cache(1)
 def _tables(seed: int = 17):
-    """The shared randomness: steps bits, signs, and signs of the first steps for every bit."""
+    """The shared randomness: how long a walk stays with a character, and the order in which a bit looks at others."""
     rng = np.random.default_rng(seed)
     moves = rng.integers(0, 2, (256, PERIOD), dtype=np.uint8)
-    signs = rng.integers(0, 2, SIGNS, dtype=np.int8) * 2 - 1
-    dense = rng.integers(0, 2, (64, BITS, BITS), dtype=np.int8) * 2 - 1
+    others = np.stack([rng.permutation(BITS) for _ in range(BITS)])
     # Steps until the walk leaves a character, the last of them included.
     waits = np.zeros((256, PERIOD), np.int64)
     wait = np.zeros(256, np.int64)
@@ -68,7 +67,7 @@ def _tables(seed: int = 17):
         wait = np.where(moves[:, j % PERIOD] == 1, 1, wait + 1)
         waits[:, j % PERIOD] = wait
     waits[SPACE] = STRIDE - np.arange(PERIOD) % STRIDE
-    return waits.ravel(), [row.tolist() for row in waits], signs, dense
+    return waits.ravel(), [row.tolist() for row in waits], others
 
 
 def character_classes(text: str) -> np.ndarray:
@@ -82,7 +81,7 @@ def walk(codes: list[np.ndarray], begin: list[int] | None = None) -> list[np.nda
     begin at step 0, or as ``begin`` says.
 
     Texts walk side by side, longest first; the last few long ones go on one by one."""
-    flat_waits, rows, _, _ = _tables()
+    flat_waits, rows, _ = _tables()
     order = sorted(range(len(codes)), key=lambda i: -len(codes[i]))
     sizes = np.array([len(codes[i]) for i in order], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])
@@ -117,35 +116,37 @@ def walk(codes: list[np.ndarray], begin: list[int] | None = None) -> list[np.nda
     return found
 
 
-def walk_sums(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """What a stretch of a walk adds to the sums of the 256 bits; ``steps`` has one entry more than ``codes``."""
-    _, _, signs, dense = _tables()
-    total = np.zeros(BITS, np.int64)
+def walk_samples(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """For each of the 256 bits the least of the shared random numbers of the characters first written at steps that fall
+    to it, and the largest number where there is none; ``steps`` has one entry more than ``codes``."""
+    least = np.full(BITS, NONE, np.uint32)
     for a in range(0, len(codes), 1 << 18):  # a long text in pieces, to bound memory
-        own = codes[a : a + (1 << 18)]
-        first, last = int(steps[a]), int(steps[a + len(own)])
+        own, j = codes[a : a + (1 << 18)], steps[a : a + (1 << 18)][: len(codes) - a]
         seen = ~SPACE[own]
-        waits, own = np.diff(steps[a : a + len(own) + 1])[seen], own[seen]
-        ends = np.cumsum(waits)
-        j = np.arange(ends[-1] if len(ends) else 0) + np.repeat(steps[a : a + len(seen)][seen] - ends + waits, waits)
-        written_out = np.repeat(own, waits)
-        index = (j * 0x9E3B1 + (j >> 20) * 0x5BD1F + written_out * 0x85EBD) & (SIGNS - 1)
-        drawn = np.zeros(-(-last // BITS) * BITS - first // BITS * BITS, np.int8)
-        drawn[j - first // BITS * BITS] = signs[index]
-        total += MAIN_WEIGHT * drawn.reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-        if first < BITS:
-            early = j < BITS
-            total += dense[written_out[early] & 63, j[early]].sum(axis=0, dtype=np.int64)
-    return total
-
-
-def fingerprint_bits(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """The 256 bits of a text from its walk."""
-    return walk_sums(codes, steps) > 0
-
-
-def _packed(sums: np.ndarray) -> bytes:
-    return np.packbits(sums > 0).tobytes()
+        own, j = own[seen], j[seen]
+        if not len(j):
+            continue
+        h = j.astype(np.uint32) * np.uint32(0x9E3779B1) + own.astype(np.uint32) * np.uint32(0x85EBCA6B)
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+        h ^= h >> np.uint32(13)
+        first = int(j[0]) // BITS * BITS
+        held = np.full(-(-(int(j[-1]) + 1 - first) // BITS) * BITS, NONE, np.uint32)
+        held[j - first] = h
+        least = np.minimum(least, held.reshape(-1, BITS).min(axis=0))
+    return least
+
+
+def _packed(least: np.ndarray) -> bytes:
+    """Each bit is one of its sample; a bit without one looks at others, in an order that all texts share."""
+    empty = np.flatnonzero(least == NONE)
+    if len(empty) == BITS:
+        return bytes(BITS // 8)
+    if len(empty):
+        places = _tables()[2][empty]
+        found = least[places] != NONE
+        least = least.copy()
+        least[empty] = least[places[np.arange(len(empty)), found.argmax(axis=1)]] ^ np.uint32(0x10000) * (empty & 1).astype(np.uint32)
+    return np.packbits((least >> np.uint32(16)) & np.uint32(1)).tobytes()
 
 
 def with_edited(texts: list[str], keep: list[int]) -> tuple[list[bytes], list[bytes], list[bytes]]:
@@ -159,23 +160,23 @@ def with_edited(texts: list[str], keep: list[int]) -> tuple[list[bytes], list[by
     own: dict[int, bytes] = {}
     edited = []
     for k, cut, tail, after in zip(keep, cuts, tails, onward):
-        head = walk_sums(codes[k][:cut], steps[k][: cut + 1])
-        own[k] = _packed(head + walk_sums(codes[k][cut:], steps[k][cut:]))
-        edited.append(_packed(head + walk_sums(tail, after)))
-    prints = [own[k] if k in own else _packed(walk_sums(codes[k], steps[k])) for k in range(len(texts))]
+        head = walk_samples(codes[k][:cut], steps[k][: cut + 1])
+        own[k] = _packed(np.minimum(head, walk_samples(codes[k][cut:], steps[k][cut:])))
+        edited.append(_packed(np.minimum(head, walk_samples(tail, after))))
+    prints = [own[k] if k in own else _packed(walk_samples(codes[k], steps[k])) for k in range(len(texts))]
     turned = [codes[k][::-1] for k in keep]
-    return prints, edited, [_packed(walk_sums(c, s)) for c, s in zip(turned, walk(turned))]
+    return prints, edited, [_packed(walk_samples(c, s)) for c, s in zip(turned, walk(turned))]
 
 
 def fingerprints(texts: list[str]) -> list[bytes]:
     codes = [character_classes(t) for t in texts]
-    return [_packed(walk_sums(c, s)) for c, s in zip(codes, walk(codes))]
+    return [_packed(walk_samples(c, s)) for c, s in zip(codes, walk(codes))]
 
 
 def likeness(a: bytes, b: bytes) -> float:
-    """The cosine that the share of differing bits stands for, not below 0."""
+    """The share of common samples that the share of differing bits stands for, not below 0: half of the others agree."""
     apart = (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
-    return 1.0 if not apart else max(0.0, math.cos(math.pi * apart / BITS))
+    return max(0.0, 1 - 2 * apart / BITS)
 
 
 def edited_text(text: str, following: str) -> str:
@@ -464,6 +465,26 @@ def _verified(pairs: DataFrame, base: DataFrame, text_col: str, least: float) ->
     return texts.repartition(n, "a", "salt").sortWithinPartitions("a", "salt", F.col("head").desc()).mapInArrow(check, "a bigint, b bigint")
 
 
+def _across(entries: DataFrame, bits: DataFrame, found: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a, b) of one bucket in different classes, at most ``UNLIKE`` bits apart: the head of each class with the head
+    of the class that has most of the bucket, or all of them.  Buckets within one class are left out by an aggregate."""
+    placed = entries.join(found, F.col("rep") == F.col("node"), "left").select("rep", "band", F.coalesce("component", "rep").alias("comp"))
+    placed = written(placed, "print-placed")
+    mixed = placed.groupBy(F.col("band").alias("mb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("mb")
+    active = written(placed.join(mixed, F.col("band") == F.col("mb")).select("rep", "band", "comp"), "print-active")
+    by_class = active.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"))
+    most = by_class.groupBy(F.col("band").alias("mb")).agg(F.max_by("comp", F.struct("n", "comp")).alias("major"))
+    if not every:
+        active = by_class.select(F.col("first").alias("rep"), "band", "comp")
+    active = written(active.join(bits.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")).drop("r"), "print-active")
+    asks = active.join(most, F.col("band") == F.col("mb")).filter("comp != major")
+    asks = written(asks.select("mb", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"), F.col("bits").alias("bits2"), "major"), "print-asks")
+    once = (F.col("comp") == F.col("major")) | ((F.col("rep") > F.col("rep2")) & F.lit(every))
+    alike = F.least(_unlike("bits", "bits2", 0), _unlike("bits", "bits2", BITS // 64)) <= UNLIKE
+    met = active.join(asks, (F.col("band") == F.col("mb")) & (F.col("comp") != F.col("comp2")) & once & alike)
+    return met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+
+
 def near_classes(base: DataFrame, prints: DataFrame, text_col: str = "text", least: float = 0.8) -> DataFrame:
     """(member, class): the smallest row of the class of near texts of each row, from bands and verification.  ``base``
     has a ``__row``; ``prints``: row, n_chars, h, fingerprint, back.
@@ -471,40 +492,35 @@ def near_classes(base: DataFrame, prints: DataFrame, text_col: str = "text", lea
     Rows with one hash, length and fingerprints are one text and take part once.  Texts meet where they agree in one of
     the bands of sampled bits (see ``BAND_STARTS``), of the fingerprint forwards or backwards, and at most ``UNLIKE`` of its
     bits differ in one of the two.  In each band a text meets the
-    head of its bucket; of the heads it goes to the most alike, and edit distance decides.  Texts of one bucket that are
-    in different classes after that all meet, in one join that adaptive execution can split, so no pair that agrees in a
-    band is lost and a group of m near texts costs about m pairs.  Classes are closed under verified links."""
+    head of its bucket; of these heads it goes to the most alike, the smallest of those with at most ``ALIKE`` differing bits, which most
+    likely is the head of its whole group, and edit distance decides.  Classes that share a bucket
+    after that meet by their heads, and texts of one bucket that are still in different classes all meet, in a join that
+    adaptive execution can split; so no such pair is lost, and a group of m near texts costs about m pairs.  Classes are closed under verified links."""
     one = ["h", "n_chars", "fingerprint", "back"]
     texts = written(prints.groupBy(*one).agg(F.min("row").alias("rep")).select("rep", *one), "print-texts")
     bits = written(texts.select("rep", _words(F.concat("fingerprint", "back")).alias("bits")), "print-bits")
-    band = lambda k, at: F.shiftrightunsigned(F.col("bits")[k], at).bitwiseAND(F.lit((1 << BAND_BITS) - 1)).bitwiseOR(F.lit((8 * at + k) << 32))
+    band = lambda k, at: F.shiftrightunsigned(F.col("bits")[k], at).bitwiseAND(F.lit((1 << NEAR_BITS) - 1)).bitwiseOR(F.lit((8 * at + k) << 32))
     banded = bits.select("rep", F.explode(F.array(*(band(k, at) for k in range(2 * BITS // 64) for at in BAND_STARTS))).alias("band"))
     heads = banded.groupBy(F.col("band").alias("hb")).agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     entries = written(banded.join(heads, F.col("band") == F.col("hb")).select("rep", "band", "head"), "print-bands")
     side = lambda k: bits.select(F.col("rep").alias(k), F.col("bits").alias(f"bits_{k}"))
     like = lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").withColumn("unlike", F.least(_unlike("bits_a", "bits_b", 0), _unlike("bits_a", "bits_b", BITS // 64))).filter(F.col("unlike") <= UNLIKE)
     pairs = like(entries.filter("rep != head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct())
-    best = written(pairs.groupBy("b").agg(F.min(F.struct("unlike", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"), "print-best")
+    best = written(pairs.groupBy("b").agg(F.min(F.struct(F.greatest("unlike", F.lit(ALIKE)).alias("u"), "a")).alias("m")).select(F.col("m.a").alias("a"), "b"), "print-best")
     links = written(_verified(best, base, text_col, least), "print-links")
     found = written(components(links), "components")
 
-    placed = entries.join(found, F.col("rep") == F.col("node"), "left").select("rep", "band", F.coalesce("component", "rep").alias("comp"))
-    placed = written(placed, "print-placed")
-    mixed = placed.groupBy(F.col("band").alias("mb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("mb")
-    active = written(placed.join(mixed, F.col("band") == F.col("mb")).select("rep", "band", "comp"), "print-active")
-    most = active.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("band").alias("mb")).agg(F.max_by("comp", F.struct("n", "comp")).alias("major"))
-    asks = active.join(most, F.col("band") == F.col("mb")).filter("comp != major").select("mb", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"), "major")
-    once = (F.col("comp") == F.col("major")) | (F.col("rep") > F.col("rep2"))
-    met = active.join(written(asks, "print-asks"), (F.col("band") == F.col("mb")) & (F.col("comp") != F.col("comp2")) & once)
-    rest = met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-    known = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = written(like(rest.join(known, ["a", "b"], "left_anti")).select("a", "b"), "print-rest")
-    more = written(_verified(rest, base, text_col, least), "print-links")
-    if not more.isEmpty():
-        found = written(components(links.unionByName(more)), "components")
+    known = written(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "print-known")
+    for every in (False, True):
+        rest = written(_across(entries, bits, found, every).join(known, ["a", "b"], "left_anti"), "print-rest")
+        more = written(_verified(rest, base, text_col, least), "print-links")
+        if not more.isEmpty():
+            links = written(links.unionByName(more), "print-links")
+            found = written(components(links), "components")
+        known = written(known.unionByName(rest), "print-known")
     own = texts.join(found, F.col("rep") == F.col("node"), "left").select(*(F.col(c).alias(f"__{c}") for c in one), F.coalesce("component", "rep").alias("class"))
     same = (F.col("h") == F.col("__h")) & (F.col("n_chars") == F.col("__n_chars")) & (F.col("fingerprint") == F.col("__fingerprint")) & (F.col("back") == F.col("__back"))
-    for old in (entries, best, placed, active, rest):
+    for old in (entries, best, rest, known):
         drop_written(old)
     return prints.join(written(own, "print-classes"), same).select(F.col("row").alias("member"), "class")
 
