@@ -82,7 +82,7 @@ class DigestIndex:
 
     def _add(self, entries: DataFrame, level: int) -> None:
         path = fresh_path(self.spark, f"digest-run-{level}")
-        options = {"compression": "zstd", "parquet.bloom.filter.enabled#digest": "true"}
+        options = {"compression": "zstd", "parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
         self._merge(entries).sortWithinPartitions("digest").write.options(**options).parquet(path)
         self.runs.append(Run(path, self.spark.read.parquet(path).count(), level))
 
