@@ -172,6 +172,12 @@ def log_gap(c, a, b, eps=EPS):
     return floor(a) - floor(b)
 
 
+@primitive("log_difference")
+def log_difference(c, a, b, eps=EPS):
+    """ln(a + eps) - ln(b + eps)."""
+    return c.b.ln(a + eps) - c.b.ln(b + eps)
+
+
 @primitive("relative_gap")
 def relative_gap(c, a, b, eps=1e-6):
     return c.b.div(a - b, b + eps)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from ..plans.nodes import Label, Node, Template, node
+import inspect
+from collections.abc import Callable
+
+from ..plans.nodes import Label, Node, node
 from .primitives import EPS, REGRESSION_STATS
 
 CLIP = ("clip", {"lo": -5.0, "hi": 5.0})
@@ -349,75 +352,80 @@ def trend_log_slope(price_col: str, ma_window: int, window: int) -> list[Node]:
     return [mu, slope, r, sd, _ratio(slope, sd, _label("trend", "trend", "log-rv", w=window, ma=ma_window))]
 
 
-def _family(family: str, **members) -> dict[str, Template]:
-    return {
-        key: Template(key, "px", family, signal, fn, description, ("price", family, "timeseries"), unitless)
-        for key, (fn, signal, description, unitless) in members.items()
-    }
+def _family(family: str, **members: tuple) -> dict[str, Callable[..., list[Node]]]:
+    """Templates by key: functions that give nodes, marked with the name of what they publish and a summary."""
+    for fn, signal, summary in members.values():
+        fn.full_name, fn.__doc__ = "__".join(filter(None, ("px", family, signal))), summary
+    return {key: member[0] for key, member in members.items()}
+
+
+def parameters(template: Callable) -> list[str]:
+    """What a template asks for, in order."""
+    return list(inspect.signature(template).parameters)
 
 
 RETURN_FAMILY = _family(
     "ret",
-    RETURN=(ret, "logret", "log return over a lookback", True),
-    ANNUALIZED_SIMPLE_RETURN=(annual_return, "smplret", "annualised simple return over a lookback", True),
-    MOVING_AVERAGE_RETURN=(mean_return, "mean", "trailing mean of log returns", True),
-    MOVING_VOLATILITY_RETURN=(volatility_return, "std", "trailing deviation of log returns", True),
-    REALIZED_VOLATILITY=(realized_volatility, "rv", "annualised deviation of log returns", True),
-    RETURN_ZSCORE=(return_zscore, "z", "clipped z-score of the return in its window", True),
-    RETURN_RATIO=(return_ratio, "r", "return to its trailing mean", True),
+    RETURN=(ret, "logret", "log return over a lookback"),
+    ANNUALIZED_SIMPLE_RETURN=(annual_return, "smplret", "annualised simple return over a lookback"),
+    MOVING_AVERAGE_RETURN=(mean_return, "mean", "trailing mean of log returns"),
+    MOVING_VOLATILITY_RETURN=(volatility_return, "std", "trailing deviation of log returns"),
+    REALIZED_VOLATILITY=(realized_volatility, "rv", "annualised deviation of log returns"),
+    RETURN_ZSCORE=(return_zscore, "z", "clipped z-score of the return in its window"),
+    RETURN_RATIO=(return_ratio, "r", "return to its trailing mean"),
 )
 RAWPRICE_FAMILY = _family(
     "prc",
-    MOVING_AVERAGE_PRICE=(price_mean, "mean", "trailing mean of the price", False),
-    MOVING_VOLATILITY_PRICE=(price_std, "std", "trailing deviation of the price", False),
-    BOLLINGER_ZSCORE=(bollinger, "z", "clipped z-score of the price in its window", True),
-    MOVING_AVERAGE_PRICE_DIFF=(mean_gap, "diff", "short less long mean", False),
-    MOVING_AVERAGE_PRICE_DIFF_TO_LONG_RATIO=(mean_gap_to_mean, "r", "short less long mean, to the long one", True),
-    MOVING_AVERAGE_PRICE_DIFF_TO_ATR_RATIO=(mean_gap_to_atr, "tr-r", "short less long mean, to the mean true range", True),
-    MOVING_AVERAGE_PRICE_DIFF_TO_MVR_RATIO=(mean_gap_to_volatility, "mvr-r", "log of short less long mean, to the deviation of returns", True),
-    DISTANCE_FROM_MOVING_AVERAGE_PRICE=(distance, "dma", "price less its mean, to the mean", True),
-    DISTANCE_FROM_MOVING_AVERAGE_PRICE_VOLATILITY_NORMALIZED=(distance_by_volatility, "vdma", "distance from the mean in annual deviations", True),
-    MOVING_AVERAGE_SLOPE=(mean_slope, "maslope", "slope of the mean", False),
-    MOVING_AVERAGE_PCT_SLOPE=(mean_pct_slope, "maslope", "relative slope of the mean", True),
-    MOVING_AVERAGE_LOG_SLOPE_NORMALIZED_BY_RV=(mean_log_slope, "maslope", "log slope of the mean in deviations of returns", True),
+    MOVING_AVERAGE_PRICE=(price_mean, "mean", "trailing mean of the price"),
+    MOVING_VOLATILITY_PRICE=(price_std, "std", "trailing deviation of the price"),
+    BOLLINGER_ZSCORE=(bollinger, "z", "clipped z-score of the price in its window"),
+    MOVING_AVERAGE_PRICE_DIFF=(mean_gap, "diff", "short less long mean"),
+    MOVING_AVERAGE_PRICE_DIFF_TO_LONG_RATIO=(mean_gap_to_mean, "r", "short less long mean, to the long one"),
+    MOVING_AVERAGE_PRICE_DIFF_TO_ATR_RATIO=(mean_gap_to_atr, "tr-r", "short less long mean, to the mean true range"),
+    MOVING_AVERAGE_PRICE_DIFF_TO_MVR_RATIO=(mean_gap_to_volatility, "mvr-r", "log of short less long mean, to the deviation of returns"),
+    DISTANCE_FROM_MOVING_AVERAGE_PRICE=(distance, "dma", "price less its mean, to the mean"),
+    DISTANCE_FROM_MOVING_AVERAGE_PRICE_VOLATILITY_NORMALIZED=(distance_by_volatility, "vdma", "distance from the mean in annual deviations"),
+    MOVING_AVERAGE_SLOPE=(mean_slope, "maslope", "slope of the mean"),
+    MOVING_AVERAGE_PCT_SLOPE=(mean_pct_slope, "maslope", "relative slope of the mean"),
+    MOVING_AVERAGE_LOG_SLOPE_NORMALIZED_BY_RV=(mean_log_slope, "maslope", "log slope of the mean in deviations of returns"),
 )
 ATR_FAMILY = _family(
     "tr",
-    NORMALIZED_AVERAGE_TRUERANGE=(true_range_to_price, "map-r", "mean true range to the mean price", True),
-    ZSCORE_AVERAGE_TRUERANGE=(true_range_zscore, "z", "clipped z-score of the mean true range", True),
-    RATIO_AVERAGE_TRUERANGE=(true_range_ratio, "atr-r", "mean true range to its own mean", True),
+    NORMALIZED_AVERAGE_TRUERANGE=(true_range_to_price, "map-r", "mean true range to the mean price"),
+    ZSCORE_AVERAGE_TRUERANGE=(true_range_zscore, "z", "clipped z-score of the mean true range"),
+    RATIO_AVERAGE_TRUERANGE=(true_range_ratio, "atr-r", "mean true range to its own mean"),
 )
 #: Templates that aren't part of a registered family.
 TRUE_RANGE_EXTRAS = _family(
     "tr",
-    TRUERANGE=(true_range, "diff", "true range", False),
-    AVERAGE_TRUERANGE=(true_range_mean, "mean", "trailing mean of the true range", False),
-    VOLATILITY_TRUERANGE=(true_range_std, "std", "trailing deviation of the true range", False),
+    TRUERANGE=(true_range, "diff", "true range"),
+    AVERAGE_TRUERANGE=(true_range_mean, "mean", "trailing mean of the true range"),
+    VOLATILITY_TRUERANGE=(true_range_std, "std", "trailing deviation of the true range"),
 )
 RSI_FAMILY = _family(
     "rsi",
-    RSI=(rsi, "r", "relative strength index, 0 to 100", True),
-    RSI_ZSCORE=(rsi_zscore, "z", "clipped z-score of the relative strength index", True),
+    RSI=(rsi, "r", "relative strength index, 0 to 100"),
+    RSI_ZSCORE=(rsi_zscore, "z", "clipped z-score of the relative strength index"),
 )
 MDD_FAMILY = _family(
     "dd",
-    MDD=(drawdown, "min", "deepest drawdown from the trailing maximum", True),
-    MDD_ATR_NORM=(drawdown_by_atr, "atr-r", "drawdown to the slow mean of the true range", True),
+    MDD=(drawdown, "min", "deepest drawdown from the trailing maximum"),
+    MDD_ATR_NORM=(drawdown_by_atr, "atr-r", "drawdown to the slow mean of the true range"),
 )
 VAR_FAMILY = _family(
     "var",
-    VALUE_AT_RISK=(value_at_risk, "q", "trailing quantile of returns", True),
-    VALUE_AT_RISK_RATIO=(value_at_risk_ratio, "r", "upper to lower tail quantile", True),
-    CONDITIONAL_VALUE_AT_RISK=(conditional_value_at_risk, "mean", "mean of returns below the quantile", True),
+    VALUE_AT_RISK=(value_at_risk, "q", "trailing quantile of returns"),
+    VALUE_AT_RISK_RATIO=(value_at_risk_ratio, "r", "upper to lower tail quantile"),
+    CONDITIONAL_VALUE_AT_RISK=(conditional_value_at_risk, "mean", "mean of returns below the quantile"),
 )
-BETA_FAMILY = _family("beta", MARKET_BETA=(market_beta, "r", "trailing beta to a benchmark", True))
+BETA_FAMILY = _family("beta", MARKET_BETA=(market_beta, "r", "trailing beta to a benchmark"))
 TREND_FAMILY = _family(
     "trend",
-    REGRESSION_TREND_LOG_PRICE=(trend_of_log_price, None, "regression statistics of the log price", True),
-    REGRESSION_TREND_LOG_MA=(trend_of_log_mean, None, "regression statistics of the log mean price", True),
-    MOVING_AVERAGE_SLOPE=(trend_slope, "trend", "slope of the mean", False),
-    MOVING_AVERAGE_PCT_SLOPE=(trend_pct_slope, "trend", "relative slope of the mean", True),
-    MOVING_AVERAGE_LOG_SLOPE_NORMALIZED_BY_RV=(trend_log_slope, "trend", "log slope of the mean in deviations of returns", True),
+    REGRESSION_TREND_LOG_PRICE=(trend_of_log_price, None, "regression statistics of the log price"),
+    REGRESSION_TREND_LOG_MA=(trend_of_log_mean, None, "regression statistics of the log mean price"),
+    MOVING_AVERAGE_SLOPE=(trend_slope, "trend", "slope of the mean"),
+    MOVING_AVERAGE_PCT_SLOPE=(trend_pct_slope, "trend", "relative slope of the mean"),
+    MOVING_AVERAGE_LOG_SLOPE_NORMALIZED_BY_RV=(trend_log_slope, "trend", "log slope of the mean in deviations of returns"),
 )
 FAMILIES = {
     "return": RETURN_FAMILY, "price": RAWPRICE_FAMILY, "truerange": ATR_FAMILY, "rsi": RSI_FAMILY, "drawdown": MDD_FAMILY,

@@ -250,8 +250,8 @@ _register_regressions()
 
 
 @primitive("ts_beta_to_market")
-def ts_beta_to_market(c, price, window, market_symbol="SPY", eps=EPS):
-    """Covariance with the benchmark's returns over its variance.
+def ts_beta_to_market(c, price, window, market_symbol="SPY", eps=EPS, log=False):
+    """Covariance with the benchmark's returns over its variance; with ``log``, of log returns.
 
     Asset returns join neighbouring dates of the panel's calendar.  Windows run over the dates that the benchmark has;
     all returns of a window must be there."""
@@ -260,8 +260,11 @@ def ts_beta_to_market(c, price, window, market_symbol="SPY", eps=EPS):
         raise ValueError(f"the panel has no benchmark {market_symbol!r}")
     market, place = c.benchmark[market_symbol]
     price = b.flat(price)
+    if log:
+        market = b.put(b.log1p(market))
     step = b.put(c.calendar - b.lag(c.calendar, 1))
-    own = b.put(b.where(step.equals(1.0) & b.call("present", market), b.div(price, b.lag(price, 1)) - 1.0))
+    change = b.div(price, b.lag(price, 1)) - 1.0
+    own = b.put(b.where(step.equals(1.0) & b.call("present", market), b.log1p(change) if log else change))
     # Rows of dates without a benchmark take no part: windows count the rows of the others.
     shared = b.put(b.call("present", place))
     pairs = b.put(b.where(b.call("present", own), market))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def asof_join(
@@ -43,13 +44,36 @@ def asof_join(
     return matched.select("__left.*", *(F.col("__hit")[c].alias(prefix + c) for c in payload))
 
 
+def _stretch(df: DataFrame, on: str) -> Column:
+    """A whole number for each stretch of time: 32 days, or 4096 units of a number."""
+    if isinstance(df.schema[on].dataType, NumericType):
+        return F.floor(F.col(on) / 4096).cast("bigint")
+    return F.floor(F.unix_date(F.to_date(on)) / 32).cast("bigint")
+
+
 def align(calendar: DataFrame, series: DataFrame, on: str, method: str = "ffill", by: str | None = None) -> DataFrame:
-    """``series`` at the dates of ``calendar``, filled forward (``ffill``) or backward (``bfill``)."""
+    """``series`` at the dates of ``calendar``, filled forward (``ffill``) or backward (``bfill``).
+
+    Without ``by`` time is cut into stretches that are joined each by itself; a date without a match in its own takes the
+    end of the nearest stretch that has rows, so no task holds more than a stretch.  Only stretches, one row each, are
+    ordered as a whole."""
     if method not in ("ffill", "bfill"):
         raise ValueError("method is ffill or bfill")
-    keyed = [df if by else df.withColumn("__one", F.lit(1)) for df in (calendar, series)]
-    out = asof_join(*keyed, by=by or "__one", on=on, direction="backward" if method == "ffill" else "forward")
-    return out if by else out.drop("__one")
+    back = method == "ffill"
+    direction = "backward" if back else "forward"
+    if by:
+        return asof_join(calendar, series, by=by, on=on, direction=direction)
+    payload = [c for c in series.columns if c != on]
+    cut = lambda df: df.withColumn("__b", _stretch(df, on))
+    facts = cut(series).filter(F.col(on).isNotNull()).withColumn("__has", F.lit(1))
+    near = asof_join(cut(calendar), facts, by="__b", on=on, direction=direction)
+    body = F.struct(*payload)
+    ends = facts.groupBy(F.lit(1).alias("__one"), F.col("__b").alias("__at")).agg((F.max_by if back else F.min_by)(body, on).alias("__far"))
+    asked = cut(calendar).select("__b").distinct().select(F.lit(1).alias("__one"), "__b", (F.col("__b") + (-1 if back else 1)).alias("__at"))
+    far = asof_join(asked, ends, by="__one", on="__at", direction=direction).select("__b", "__far")
+    both = near.join(far, "__b", "left")
+    filled = [F.when(F.col("__has").isNotNull(), F.col(c)).otherwise(F.col("__far")[c]).alias(c) for c in payload]
+    return both.select(*calendar.columns, *filled)
 
 
 def outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -80,17 +80,25 @@ def find_columns(df: DataFrame, contains: str | None = None, contains_all: Seque
 
 
 def breadth_rows(panel: DataFrame, spreads: Mapping[str, Mapping[str, float]], symbol: str = "symbol") -> DataFrame:
-    """``panel`` with a row for each spread: a weighted sum of symbols' rows.  A spread lacking a member is left out."""
+    """``panel`` (one row a symbol) with a row for each spread: a weighted sum of symbols' rows, NULL where a member's value
+    is.  A spread lacking a member is left out.
+
+    One pass: each row goes to its own name and, weighted, to the spreads that it is part of; names are then summed up."""
     values = [c for c in panel.columns if c != symbol]
-    out = panel
-    for name, weights in spreads.items():
-        def total(c: str, weights=weights) -> Column:
-            parts = [F.max(F.when(F.col(symbol) == s, F.col(f"`{c}`"))) * w for s, w in weights.items()]
-            return sum(parts[1:], parts[0])
-
-        row = panel.agg(F.count_distinct(F.when(F.col(symbol).isin(*weights), F.col(symbol))).alias("__n"), *(total(c).alias(c) for c in values))
-        out = out.unionByName(row.filter(F.col("__n") == len(weights)).select(F.lit(name).alias(symbol), *(F.col(f"`{c}`") for c in values)))
-    return out
+    parts = [(name, s, float(w)) for name, weights in spreads.items() for s, w in weights.items()]
+    if not parts:
+        return panel
+    shares = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(s).alias("of"), F.lit(w).alias("w")) for n, s, w in parts))
+    mine = F.filter(shares, lambda x: x["of"] == F.col(symbol))
+    own = F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("of"), F.lit(1.0).alias("w"))
+    dealt = panel.withColumn("__to", F.explode(F.concat(F.array(own), F.coalesce(mine, F.array().cast("array<struct<name:string,of:string,w:double>>")))))
+    spread = F.col("__to.name").isNotNull()
+    dealt = dealt.withColumns({"__spread": spread, "__name": F.coalesce(F.col("__to.name"), F.col(symbol))})
+    total = lambda c: F.when(F.count(c) == F.count(F.lit(1)), F.sum(F.col(c) * F.col("__to.w")))
+    summed = dealt.groupBy("__spread", "__name").agg(F.count(F.lit(1)).alias("__n"), *(total(f"`{c}`").alias(c) for c in values))
+    sizes = F.create_map(*(F.lit(x) for name, weights in spreads.items() for x in (name, len(weights))))
+    whole = ~F.col("__spread") | (F.col("__n") == F.element_at(sizes, F.col("__name")))
+    return summed.filter(whole).select(F.col("__name").alias(symbol), *(F.col(f"`{c}`") for c in values))
 
 
 def row_mean(columns: Sequence[str]) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -11,9 +12,11 @@ from pyspark.sql.types import NumericType
 from ..functions.ewm import smooth
 from ..functions.primitives import EPS, POSTS, PRIMITIVES, SMOOTHED, Context
 from .algebra import Backend, SparkBackend, SqlBackend, Val
-from .nodes import Col, Lit, Node, Of, column_names, in_order, merged
+from .nodes import Arg, Node, column_names, in_order, merged
 
 CALENDAR = "__cal"
+#: Up to so many dates the calendar is made on the driver and broadcast.
+CALENDAR_ROWS = 200_000
 
 
 def clean(df: DataFrame, *keys: str) -> DataFrame:
@@ -37,17 +40,12 @@ def _lower(nodes: list[Node], b: Backend, columns: Iterable[str], built: Mapping
     market = {m: (Val(b, b.column(f"__bm_{m}")), Val(b, b.column(f"__bmcal_{m}"))) for m in benchmarks}
     context = Context(b, eps, Val(b, b.column(CALENDAR)), market)
 
-    def resolve(value) -> object:
-        match value:
-            case Col(name):
-                if name not in columns:
-                    raise ValueError(f"no column {name!r}; there are {sorted(columns)}")
-                return Val(b, b.column(name))
-            case Of(id_):
-                return values[id_] if id_ in values else Val(b, b.column(id_))
-            case Lit(inner):
-                return inner
-        return value
+    def resolve(arg: Arg) -> object:
+        if arg.kind == "value":
+            return arg.of
+        if arg.kind == "column" and arg.of not in columns:
+            raise ValueError(f"no column {arg.of!r}; there are {sorted(columns)}")
+        return values[arg.of] if arg.of in values else Val(b, b.column(arg.of))
 
     for n in in_order(merged(nodes), set(built)):
         if n.id in built:
@@ -68,14 +66,15 @@ class FactorBuilder:
     """Factor columns over a panel with one row a (symbol, date).
 
     What was built stays part of the builder's plan, so later calls may refer to it without repeating it; nothing runs
-    before an action.  All trailing windows share one exchange by symbol.
+    before an action, but for calendar-aligned operations: those read the dates (and benchmarks) once, from ``calendar``
+    if given (a part of a panel needs the whole one's).  All trailing windows share one exchange by symbol.
     """
 
-    def __init__(self, panel: DataFrame, symbol: str = "symbol", date: str = "date", eps: float = EPS, benchmarks: Mapping[str, DataFrame] | None = None, check_keys: bool = False):
+    def __init__(self, panel: DataFrame, symbol: str = "symbol", date: str = "date", eps: float = EPS, benchmarks: Mapping[str, DataFrame] | None = None, check_keys: bool = False, calendar: DataFrame | None = None):
         if check_keys and not duplicate_keys(panel, symbol, date).isEmpty():
             raise ValueError(f"({symbol}, {date}) isn't unique")
         self.symbol, self.date, self.eps = symbol, date, eps
-        self.benchmarks = dict(benchmarks or {})
+        self.benchmarks, self.calendar = dict(benchmarks or {}), calendar
         for name, df in self.benchmarks.items():
             if len(df.columns) < 2:
                 raise ValueError(f"benchmark {name} needs a date and a price")
@@ -85,21 +84,53 @@ class FactorBuilder:
         self._calendar = False
 
     def _with_calendar(self) -> None:
-        """Index the panel's dates (one row a date), and for each benchmark the dates that both have."""
+        """Join the panel's dates with their index, and for each benchmark its returns and the index among the dates that
+        both have.  The calendar is one small table, made once and broadcast; beyond ``CALENDAR_ROWS`` dates (a panel of
+        irregular times) it stays distributed."""
         if self._calendar:
             return
-        everything = Window.orderBy(self.date)  # over one row a date
-        dates = self.df.select(self.date).distinct().withColumn(CALENDAR, F.row_number().over(everything).cast("double"))
-        for name, df in self.benchmarks.items():
-            price = next(c for c in df.columns if c != self.date)
-            own = clean(df.select(self.date, F.col(price).alias("p")), self.date)
-            change = F.try_divide(F.col("p"), F.lag("p").over(everything)) - 1
-            own = own.select(self.date, change.alias(f"__bm_{name}")).filter(f"`__bm_{name}` IS NOT NULL")
-            shared = own.join(dates.select(self.date), self.date).withColumn(f"__bmcal_{name}", F.row_number().over(everything).cast("double"))
-            dates = dates.join(shared, self.date, "left")
-        self.df = self.df.join(dates, self.date, "left")
+        given = self.df if self.calendar is None else self.calendar
+        dates = given.select(self.date).filter(F.col(self.date).isNotNull()).distinct()
+        local = dates.limit(CALENDAR_ROWS + 1).toArrow()
+        if len(local) > CALENDAR_ROWS:
+            self.df = self.df.join(self._ranked(dates), self.date, "left")
+        else:
+            local = local.sort_by(self.date)
+            columns = {self.date: local.column(0), CALENDAR: pa.array([float(i + 1) for i in range(len(local))])}
+            place = {d: i for i, d in enumerate(local.column(0).to_pylist())}
+            for name, df in self.benchmarks.items():
+                columns |= self._benchmark(name, df, place)
+            self.df = self.df.join(F.broadcast(self.df.sparkSession.createDataFrame(pa.table(columns))), self.date, "left")
         self._calendar = True
 
+    def _benchmark(self, name: str, df: DataFrame, place: dict) -> dict[str, pa.Array]:
+        """A benchmark's returns at the calendar's places, and their index."""
+        price = next(c for c in df.columns if c != self.date)
+        own = clean(df.select(self.date, F.col(price).alias("p")), self.date).limit(CALENDAR_ROWS + 1).toArrow().sort_by(self.date)
+        if len(own) > CALENDAR_ROWS:
+            raise ValueError(f"benchmark {name} has more than {CALENDAR_ROWS} rows")
+        change, index, before, n = [None] * len(place), [None] * len(place), None, 0.0
+        for d, p in zip(own.column(0).to_pylist(), own.column(1).to_pylist()):
+            if p is not None and before and d in place:
+                n += 1
+                change[place[d]], index[place[d]] = p / before - 1, n
+            before = p
+        return {f"__bm_{name}": pa.array(change, pa.float64()), f"__bmcal_{name}": pa.array(index, pa.float64())}
+
+    def _ranked(self, dates: DataFrame) -> DataFrame:
+        """Many dates with their index: days are counted, summed up over days, and dates numbered within their day."""
+        kind = dates.schema[self.date].dataType
+        day = F.floor(F.col(self.date) / 4096) if isinstance(kind, NumericType) else F.to_date(self.date)
+        placed = dates.withColumn("__day", day)
+        upto = Window.orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)  # one row a day
+        starts = placed.groupBy(F.col("__day").alias("__d")).agg(F.count(F.lit(1)).alias("__n")).select("__d", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__start"))
+        own = F.row_number().over(Window.partitionBy("__day").orderBy(self.date))
+        out = placed.withColumn("__own", own).join(starts, F.col("__day") == F.col("__d"))
+        out = out.select(self.date, (F.col("__start") + F.col("__own")).cast("double").alias(CALENDAR))
+        if self.benchmarks:
+            raise ValueError(f"benchmarks go with calendars of at most {CALENDAR_ROWS} dates")
+        return out
+
     def _add(self, nodes: list[Node]) -> None:
         if any(n.op.endswith(("_vectorized", "_fast", "_to_market")) for n in nodes):
             self._with_calendar()

@@ -4,11 +4,11 @@ import random
 
 import pytest
 
-from ridgeline.functions.families import FAMILIES, RETURN_FAMILY, TRUE_RANGE_EXTRAS
+from ridgeline.functions.families import FAMILIES, RETURN_FAMILY, TRUE_RANGE_EXTRAS, parameters
 from ridgeline.functions.grid import Grid, decode_key, encode_key, expand
 from ridgeline.plans.builder import FactorBuilder
 from ridgeline.plans.chunks import build_in_chunks, history_rows
-from ridgeline.plans.nodes import Label, Node, Of, column_names, in_order, merged, node
+from ridgeline.plans.nodes import Arg, Label, Node, column_names, in_order, merged, node
 from ridgeline.plans.transforms import add_ts_zscore, select_target, to_zscore
 
 
@@ -38,7 +38,7 @@ def test_names_of_templates():
     assert sorted(published) == sorted([*plain, "px__trend__regaccel__w20_ap3_ma5__logma"])
     assert sum(len(f) for f in FAMILIES.values()) == 35 and len(TRUE_RANGE_EXTRAS) == 3
     t = RETURN_FAMILY["RETURN"]
-    assert t.full_name == "px__ret__logret" and t.param_names == ["price_col", "lookback"]
+    assert t.full_name == "px__ret__logret" and parameters(t) == ["price_col", "lookback"]
 
 
 def test_order_cycles_and_missing_needs():
@@ -48,8 +48,8 @@ def test_order_cycles_and_missing_needs():
     with pytest.raises(ValueError, match="isn't in the graph"):
         in_order(merged([b]))
     assert [n.name for n in in_order(merged([b]), {a.id})] == ["b"]
-    x = Node("diff", {"a": Of("y")}, name="x")
-    y = Node("diff", {"a": Of("x")}, name="y")
+    x = Node("diff", {"a": Arg("node", "y")}, name="x")
+    y = Node("diff", {"a": Arg("node", "x")}, name="y")
     with pytest.raises(ValueError, match="cycle"):
         in_order({"x": x, "y": y})
 
@@ -153,5 +153,5 @@ def test_reference_grid_is_built():
 
     names = {n.name for n in Compact().build(settings()) if n.publish}
     assert len(GRID) == 28 and len(names) == 519 and {"grid_compact_reference", "grid_compact_reference_beta"} <= set(QUERIES)
-    assert {"ret_120", "mapd_50_100", "mapdlnrtmvr_50_100", "beta_126", "var_1_126_95", "cvar_1_126_5", "tr"} <= names
-    assert not {"mar_120_10", "mrz_20_10", "zatr_30_100", "cvar_1_30_5"} & names
+    assert {"ret_120", "mapd_50_100", "mapdlnrtmvr_50_100", "beta_126_spy", "var_1_126_p95", "cvar_1_126_p5", "tr"} <= names
+    assert not {"mar_120_10", "mrz_20_10", "zatr_30_100", "cvar_1_30_p5"} & names

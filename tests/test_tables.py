@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.families import FAMILIES
 from ridgeline.operators import joins, report, reshape, universe
+from ridgeline.functions import analytics  # noqa: F401
 from ridgeline.plans.builder import FactorBuilder
+from ridgeline.plans.nodes import node
 from ridgeline.sources import files, rest, types
 from ridgeline.streaming import ingest
 
@@ -36,6 +38,12 @@ def test_align(spark):
     series = spark.createDataFrame([(D(2), 1.0), (D(4), 2.0)], "d date, x double")
     assert [r.x for r in joins.align(days, series, "d").orderBy("d").collect()] == [None, 1.0, 1.0, 2.0, 2.0]
     assert [r.x for r in joins.align(days, series, "d", "bfill").orderBy("d").collect()] == [1.0, 1.0, 2.0, 2.0, None]
+    far = spark.createDataFrame([(dt.date(2024 + i // 12, i % 12 + 1, 3),) for i in range(24)] + [(None,)], "d date")
+    thin = spark.createDataFrame([(dt.date(2024, 2, 20), 1.0), (dt.date(2024, 9, 3), None), (dt.date(2025, 6, 1), 3.0)], "d date, x double")
+    got = [r.x for r in joins.align(far, thin, "d").filter("d IS NOT NULL").orderBy("d").collect()]
+    assert got == [None] * 2 + [1.0] * 6 + [None] * 9 + [3.0] * 7
+    got = [r.x for r in joins.align(far, thin, "d", "bfill").filter("d IS NOT NULL").orderBy("d").collect()]
+    assert got == [1.0] * 2 + [None] * 7 + [3.0] * 8 + [None] * 7
 
 
 def test_liquidity_counts_missing_as_not_low(spark):
@@ -153,21 +161,66 @@ def test_fetch_retries_what_may_pass():
     assert len(calls) == 1
 
 
+def rounded_rows(df):
+    return sorted(tuple(round(v, 8) if isinstance(v, float) else str(v) for v in r) for r in df.collect())
+
+
 def test_streaming_factors_follow_the_panel(spark, tmp_path):
     rows = [(s, D(i), float(10 * k + i * i % 13)) for k, s in enumerate("ab") for i in range(1, 29)]
     schema = "symbol string, date date, p double"
     nodes = FAMILIES["return"]["RETURN_ZSCORE"]("p", 1, 4)
-    build = lambda df: FactorBuilder(df).build_published(nodes)
     source = tmp_path / "in"
-    for i, cut in enumerate((rows[:20] + rows[28:45], rows[20:28] + rows[45:])):
+    resent = [("a", D(20), 3.5)]
+    for cut in (rows[:20] + rows[28:45], rows[20:28] + rows[45:], resent):
         spark.createDataFrame(cut, schema).coalesce(1).write.mode("append").parquet(str(source))
         stream = spark.readStream.schema(schema).parquet(str(source))
-        q = ingest.follow(stream, f"{tmp_path}/panel", f"{tmp_path}/factors", nodes, build, f"{tmp_path}/cp")
+        q = ingest.follow(stream, f"{tmp_path}/panel", f"{tmp_path}/factors", nodes, f"{tmp_path}/cp")
         q.awaitTermination()
     got = ingest.newest(spark.read.parquet(f"{tmp_path}/factors"))
-    key = lambda df: sorted((r.symbol, r.date, None if r[2] is None else round(r[2], 9)) for r in df.collect())
-    assert key(got) == key(build(spark.createDataFrame(rows, schema)))
-    assert ingest.history_rows(nodes) >= 5
+    rows = [r for r in rows if r[:2] != resent[0][:2]] + resent
+    assert rounded_rows(got) == rounded_rows(FactorBuilder(spark.createDataFrame(rows, schema)).build_published(nodes))
+
+
+SERIES = {
+    "ts_return": {"lookback": 2}, "ts_mean": {"window": 3}, "ts_std": {"window": 3}, "ts_max": {"window": 3}, "ts_min": {"window": 3}, "ts_quantile": {"window": 4, "q": 0.4},
+    "ts_diff": {"lookback": 2}, "ts_slope": {"lookback": 2}, "ts_pctslope": {"lookback": 2}, "ts_logslope": {"lookback": 2}, "ts_ewm_mean": {"window": 3}, "ts_ewm_span_mean": {"span": 4},
+    "ts_tail_mean": {"window": 4, "q": 0.5}, "ts_tail_mean_fast": {"window": 4, "q": 0.5}, "log": {}, "scale": {"scaler": 2.0},
+    **{f"ts_reg_{stat}{kind}": {"window": 4} for stat in ("slope", "intercept", "r2", "resid_std", "slope_se", "tstat") for kind in ("", "_vectorized")},
+}
+SERIES_POSTS = {
+    "clip": {"lo": -1.0, "hi": 12.0}, "log": {}, "index_scale": {"offset": 100}, "scale": {"scaler": -1.0}, "delog": {}, "annualize_ret": {"w": 5},
+    "annualize_logret": {"w": 5}, "annualize_vol": {"w": 5}, "cs_rank": {}, "cs_zscore": {},
+}
+
+
+def test_refresh_gives_what_a_full_build_gives(spark):
+    """Every primitive and post, over symbols with gaps, after a batch that touches one symbol and adds a date."""
+    rows = [(s, D(i), float(11 + k + (i * (k + 3)) % 7), float(20 + i % 3 + k)) for k, s in enumerate("abc") for i in range(1, 25) if (i + k) % 9 and i != 17]
+    schema = "symbol string, date date, x double, y double"
+    late = [("b", D(17), 12.5, 22.0), ("b", D(25), 13.0, 21.0)]
+    before = [r for r in rows if r[:2] != ("b", D(20))]
+    panel = spark.createDataFrame(before + late, schema)
+    market = spark.createDataFrame([(D(i), float(30 + (i * i) % 5)) for i in range(1, 26) if i % 7], "date date, p double")
+    nodes = [node(op, {"price" if op == "ts_return" else "x": "x"}, op, **params) for op, params in SERIES.items()]
+    nodes += [node(op, {"a": "y", "b": "x"}, op) for op in ("diff", "rdiff", "ratio", "abs_ratio")]
+    nodes += [node("zscore", {"x": "y", "mu": "x", "sigma": "x"}, "zscore"), node("tr", {"high": "y", "low": "x", "close": "x"}, "tr")]
+    nodes += [node("ts_beta_to_market", {"price": "x"}, "beta", window=4, market_symbol="m")]
+    nodes += [node("ts_mean", {"x": "x"}, f"post {p}", posts=[(p, params)], window=2) for p, params in SERIES_POSTS.items()]
+    ranked = node("ts_mean", {"x": "x"}, "ranked", posts=[("cs_rank", {})], window=3)
+    nodes += [ranked, node("ts_max", {"x": ranked}, "of ranks", window=5)]
+    whole = FactorBuilder(panel, benchmarks={"m": market}).build_published(nodes).cache()
+    old = FactorBuilder(spark.createDataFrame(before, schema), benchmarks={"m": market}).build_published(nodes).cache()
+    batch = spark.createDataFrame(late, schema)
+    for group in ([n] for n in nodes if n.name in ("ts_mean", "ts_reg_slope_vectorized", "post cs_rank", "of ranks", "ts_ewm_mean", "beta")):
+        asked = [*([ranked] if group[0].name == "of ranks" else []), *group]
+        name = f"`{group[0].name}`"
+        new = ingest.refresh(batch, panel, asked, benchmarks={"m": market}).select("symbol", "date", name)
+        kept = old.select("symbol", "date", name).join(new, ["symbol", "date"], "left_anti")
+        assert rounded_rows(kept.unionByName(new)) == rounded_rows(whole.select("symbol", "date", name)), name
+    new = ingest.refresh(batch, panel, nodes, benchmarks={"m": market})
+    assert rounded_rows(old.join(new, ["symbol", "date"], "left_anti").unionByName(new)) == rounded_rows(whole)
+    with pytest.raises(ValueError):
+        ingest.refresh(batch, panel, [node("next_return", {"price": "x"}, "label", lookback=1)])
     with pytest.raises(ValueError):
         ingest.history_rows(FAMILIES["rsi"]["RSI"]("p", 5))
 
