@@ -340,10 +340,14 @@ def normalize_types(spark, sf_dir):
     return types.normalize_types(text).withColumn("day", F.to_date("day").cast("string"))
 
 
-@query("sample_symbols")
+@query(
+    "sample_symbols",
+    f"WITH p AS ({panels.PX_EVENTS}), c AS (SELECT DISTINCT symbol FROM p ORDER BY md5('7/' || CAST(symbol AS VARCHAR)), symbol LIMIT 10) "
+    "SELECT symbol, epoch_us(date) AS date, round(price, 6) + 0.0 AS price FROM p WHERE symbol IN (SELECT symbol FROM c)",
+)
 def sample_symbols(spark, sf_dir):
     """The rows of 10 sampled symbols: sampling is the operator."""
-    return universe.sample_symbols(panels.px_events(spark, sf_dir), 10)
+    return universe.sample_symbols(panels.px_events(spark, sf_dir), 10).withColumn("date", F.unix_micros(F.col("date").cast("timestamp")))
 
 
 # Report

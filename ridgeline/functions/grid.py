@@ -7,7 +7,7 @@ from itertools import combinations, permutations, product
 from math import comb, perm, prod
 from typing import Any
 
-from ..plans.nodes import Node
+from ..plans.nodes import Node, node
 
 
 class Grid:
@@ -59,6 +59,28 @@ def expand(template: Callable[..., list[Node]], grid: Grid | Mapping, max_window
     return found
 
 
+def pair_gaps(windows: Sequence[int], close: str = "close", high: str = "high", low: str = "low", eps: float = 1e-10) -> list[Node]:
+    """For each two of the spot price (window 0) and its trailing means, the shorter first: their difference (``mapd``) and
+    difference of logarithms (``mapdln``); the former to the longer mean (``mapd_ma``) and to the mean true range
+    (``mapd_atr``), the latter to the deviation of daily log returns (``mapdln_sigma``)."""
+    kept: list[Node] = []
+
+    def add(name: str, op: str, inputs: Mapping, publish: bool = True, **params) -> Node:
+        kept.append(node(op, inputs, name, publish=publish, **params))
+        return kept[-1]
+
+    change = add("ret_1", "ts_return", {"price": close}, False, lookback=1)
+    tr = add("tr", "tr", {"high": high, "low": low, "close": close}, False)
+    means = {0: close} | {w: add(f"map_{w}", "ts_mean", {"x": close}, False, window=w) for w in windows}
+    for i, j in combinations(means, 2):
+        gap = add(f"mapd_{i}_{j}", "diff", {"a": means[i], "b": means[j]})
+        logs = add(f"mapdln_{i}_{j}", "log_difference", {"a": means[i], "b": means[j]}, eps=eps)
+        add(f"mapd_ma_{i}_{j}", "ratio", {"a": gap, "b": means[j]}, eps=eps)
+        add(f"mapd_atr_{i}_{j}", "ratio", {"a": gap, "b": add(f"matr_{j}", "ts_mean", {"x": tr}, False, window=j)}, eps=eps)
+        add(f"mapdln_sigma_{i}_{j}", "ratio", {"a": logs, "b": add(f"sigma_{j}", "ts_std", {"x": change}, False, window=j)}, eps=eps)
+    return kept
+
+
 def encode_key(values: tuple) -> str:
     """A tuple of None, booleans, numbers, strings and tuples as URL-safe text; :func:`decode_key` is the inverse."""
     import base64

@@ -52,3 +52,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def dispersion(df: DataFrame, value: str, date: str = "date") -> DataFrame:
     """Deviation of a value across symbols on each date, and how many have it."""
     return df.groupBy(date).agg(F.stddev_samp(value).alias("dispersion"), F.count(value).alias("n"))
+
+
+def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """0 for NULL in the numeric columns, or in those named."""
+    return df.fillna(0, list(columns) if columns is not None else None)

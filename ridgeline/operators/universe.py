@@ -73,7 +73,8 @@ def coverage(df: DataFrame, symbol: str = "symbol", date: str = "date") -> DataF
 
 def sample_symbols(df: DataFrame, n: int, seed: int = 7, symbol: str = "symbol") -> DataFrame:
     """All rows of ``n`` symbols, chosen by hash: the same ones in every run."""
-    chosen = df.select(symbol).distinct().orderBy(F.xxhash64(F.lit(seed), F.col(symbol)), symbol).limit(n)
+    lot = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col(symbol).cast("string")))
+    chosen = df.select(symbol).distinct().orderBy(lot, symbol).limit(n)
     return df.join(chosen, symbol, "left_semi")
 
 

@@ -25,6 +25,9 @@ def test_labels():
     assert str(Label("px", "x", "s", {"a": -0.5, "b": 2.0, "c": True})) == "px__x__s__an0p5_b2_c1__raw"
     assert str(Label("px", "tr", "diff")) == "px__tr__diff__none__raw"
     assert Label.parse("px__prc__dma__w5_zw60__z").params == {"w": 5, "zw": 60}
+    assert Label.parse("px__trend__regaccel__w20_ap3_ma5__logma").params == {"w": 20, "ap": 3, "ma": 5}
+    for name in ("px__x__s__an0p5_b2_c1__raw", "px__beta__r__w60_mktspy__raw", "px__tr__diff__none__raw"):
+        assert str(Label.parse(name)) == name
     with pytest.raises(ValueError):
         Label.parse("plain")
 
