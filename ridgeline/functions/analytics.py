@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .primitives import EPS, primitive
+from .primitives import primitive
 
 YEAR = 252.0
 
@@ -166,14 +166,14 @@ def spread_proxy(c, high, low, close):
 
 
 @primitive("log_gap")
-def log_gap(c, a, b, eps=EPS):
+def log_gap(c, a, b, eps):
     """ln a - ln b, both at least eps."""
     floor = lambda v: c.b.call("ln", c.b.most(v, c.b.lit(float(eps))))
     return floor(a) - floor(b)
 
 
 @primitive("log_difference")
-def log_difference(c, a, b, eps=EPS):
+def log_difference(c, a, b, eps):
     """ln(a + eps) - ln(b + eps)."""
     return c.b.ln(a + eps) - c.b.ln(b + eps)
 

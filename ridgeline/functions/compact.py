@@ -63,6 +63,7 @@ class Compact:
         return self._add(f"ret_{i}", "ts_return", {"price": self.c["close"]}, lookback=i)
 
     def retNext(self, i):  # noqa: N802  the column's name
+        self._within(i)
         return self._add(f"retNext_{i}", "next_return", {"price": self.c["close"]}, lookback=i)
 
     def mar(self, i, j):

@@ -59,7 +59,7 @@ def expand(template: Callable[..., list[Node]], grid: Grid | Mapping, max_window
     return found
 
 
-def pair_gaps(windows: Sequence[int], close: str = "close", high: str = "high", low: str = "low", eps: float = 1e-10) -> list[Node]:
+def pair_gaps(windows: Sequence[int], close: str = "close", high: str = "high", low: str = "low", eps: float = 1e-6) -> list[Node]:
     """For each two of the spot price (window 0) and its trailing means, the shorter first: their difference (``mapd``) and
     difference of logarithms (``mapdln``); the former to the longer mean (``mapd_ma``) and to the mean true range
     (``mapd_atr``), the latter to the deviation of daily log returns (``mapdln_sigma``)."""

@@ -1,7 +1,7 @@
 """Primitives and posts, written once against the algebra of :mod:`ridgeline.plans.algebra`.
 
 ``@primitive(name)`` and ``@post(name)`` register a function.  It gets the evaluation context and, by name, what its
-signature asks for: the node's inputs, else its parameters, else the context's settings (``eps``).
+signature asks for: the node's inputs, else its parameters, else its own default, else the context's ``eps``.
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ class Context:
     def run(self, registry: Mapping[str, Callable], name: str, first: Mapping[str, Any], params: Mapping[str, Any]) -> Val:
         if name not in registry:
             raise ValueError(f"unknown operation {name!r}")
-        fn, given = registry[name], {"eps": self.eps, **params, **first}
+        fn, given = registry[name], {**params, **first}
         asked = list(inspect.signature(fn).parameters.values())[1:]
+        if any(p.name == "eps" and p.default is p.empty for p in asked):
+            given.setdefault("eps", self.eps)
         missing = [p.name for p in asked if p.name not in given and p.default is p.empty]
         if missing:
             raise ValueError(f"{name} needs {', '.join(missing)}")
@@ -250,7 +252,7 @@ _register_regressions()
 
 
 @primitive("ts_beta_to_market")
-def ts_beta_to_market(c, price, window, market_symbol="SPY", eps=EPS, log=False):
+def ts_beta_to_market(c, price, window, eps, market_symbol="SPY", log=False):
     """Covariance with the benchmark's returns over its variance; with ``log``, of log returns.
 
     Asset returns join neighbouring dates of the panel's calendar.  Windows run over the dates that the benchmark has;
