@@ -286,20 +286,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> D
     return met.select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT, class_bits: int = CLASS_BITS) -> DataFrame:
-    """``docs`` with ``n_shingles``, ``component_id`` (the smallest id reachable by links) and ``representative`` (true for
-    one row of each component, one with that id).
-
-    Texts are compared as sets of ``ngram``-word shingles after lower-casing A-Z; two link when 100 * intersection >=
-    percent * union.  Null texts and texts without words have no shingles and stand alone: their component is their own
-    id, each is its own representative.  Ids are of any type that sorts; null ids rank after all others.  Repeated rows
-    are members of one component.  Columns of the same names are replaced; an empty table gives an empty table.
-    ``class_bits`` below 64 makes class names collide, for tests.
-    """
-    made = ["n_shingles", "component_id", "representative"]
-    base = with_row_key(docs.drop(*made), id_col)
+def near_members(base: DataFrame, id_col: str, text_col: str, ngram: int = NGRAM, percent: int = PERCENT, class_bits: int = CLASS_BITS) -> DataFrame:
+    """(row, id, n_shingles, component_id, representative) of each row of ``base``, which has a ``__row``; see
+    :func:`near_groups`."""
     bytes_ = F.col(text_col).cast("binary")
-    id_type = docs.schema[id_col].dataType.simpleString()
+    id_type = base.schema[id_col].dataType.simpleString()
     both = written(_sets(base.select("__row", F.col(id_col).alias("id"), bytes_.alias("text")), ngram, id_type, class_bits), "sets")
     counts = _bucket_counts(both.filter("chunk IS NOT NULL").select("chunk", "counts"))
     members = both.filter("chunk IS NULL").select("row", "id", "n", "cls", "digest", "profile")
@@ -333,24 +324,43 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grouped = written(grouped, "grouped")
     heads = written(grouped.groupBy("comp").agg(F.min("first").alias("head")), "heads")
     head_of = written(grouped.select("cls", "comp").join(heads, "comp").select(F.col("cls").alias("c"), "head"), "head-of")
-    placed = members.join(head_of, F.col("cls") == F.col("c"), "left").select(
-        F.col("row").alias("__r"),
+    return members.join(head_of, F.col("cls") == F.col("c"), "left").select(
+        "row", "id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("head.id")).alias("component_id"),
         (F.col("cls").isNull() | (F.col("head.row") == F.col("row"))).alias("representative"),
-    )
+    )
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT, class_bits: int = CLASS_BITS) -> DataFrame:
+    """``docs`` with ``n_shingles``, ``component_id`` (the smallest id reachable by links) and ``representative`` (true for
+    one row of each component, one with that id).
+
+    Texts are compared as sets of ``ngram``-word shingles after lower-casing A-Z; two link when 100 * intersection >=
+    percent * union.  Null texts and texts without words have no shingles and stand alone: their component is their own
+    id, each is its own representative.  Ids are of any type that sorts; null ids rank after all others.  Repeated rows
+    are members of one component.  Columns of the same names are replaced; an empty table gives an empty table.
+    ``class_bits`` below 64 makes class names collide, for tests.
+    """
+    made = ["n_shingles", "component_id", "representative"]
+    base = with_row_key(docs.drop(*made), id_col)
+    placed = near_members(base, id_col, text_col, ngram, percent, class_bits).drop("id").withColumnRenamed("row", "__r")
     return base.join(placed, F.col("__row") == F.col("__r")).select(*docs.drop(*made).columns, *made)
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles and component of each document; see :func:`near_groups` for nulls, ties and repeated rows."""
-    return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+    base = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return near_members(base, "doc_id", "text").select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates: the one with the smallest doc_id, one of repeated rows.  Documents
-    without words stay.  All columns pass; an empty table stays empty."""
-    return near_groups(docs).filter("representative").select(*docs.columns)
+    without words stay.  All columns pass; an empty table stays empty.  Only the numbers of rows that go are joined with
+    the documents."""
+    base = with_row_key(docs, "doc_id")
+    gone = written(near_members(base, "doc_id", "text").filter("NOT representative").select(F.col("row").alias("__gone")), "near-gone")
+    return base.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
 
 
 #: The same by definition: all pairs that share a shingle, and the smallest id that each document reaches.

@@ -1,3 +1,5 @@
+import hashlib
+import zlib
 from collections import defaultdict
 from math import floor
 
@@ -5,9 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ridgeline.llm import exact_dedup
 from ridgeline.llm.common import WORD
 from ridgeline.llm.exact_dedup import DigestIndex, exact_groups
-from ridgeline.llm.mixing import mix, mixed_documents
+from ridgeline.llm.mixing import mix, mixed_documents, ranked
 from ridgeline.llm.sharding import jump_hash, shards, write_shards
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -84,6 +87,69 @@ def test_shards(spark, tmp_path):
     assert spark.read.parquet(path).count() == len(ROWS)
 
 
+def scalar_jump(key, n):
+    """Jump consistent hashing of one 64-bit key, as published."""
+    b, j = -1, 0
+    while j < n:
+        b = j
+        key = (key * 2862933555777941757 + 1) % 2**64
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_shards_by_brute_force(spark):
+    rows = ROWS + [(i, f"text {i}", "t") for i in range(1000, 1100)]
+    want = {}
+    for i, t, _ in rows:
+        name, crc = "-" if i is None else str(i), zlib.crc32((t or "").encode())
+        key = int(hashlib.md5(name.encode()).hexdigest()[:16], 16)
+        place = hashlib.md5(f"slot/{name}/{crc}".encode()).hexdigest()[:16]
+        want.setdefault(scalar_jump(key, 24), []).append((place, str(i), len((t or "").encode()) + 8, crc, scalar_jump(key, 25)))
+    want = {(s, slot, *row[1:]) for s, found in want.items() for slot, row in enumerate(sorted(found))}
+    got = {(r.shard, r.slot, str(r.doc_id), r.size, r.text_crc32, r.grown_shard) for r in shards(make(spark, rows), rows_per_range=2).collect()}
+    assert got == want
+
+
+def test_the_query_flushes_compacts_and_keeps_runs_sorted(spark, monkeypatch):
+    seen, add = [], DigestIndex._add
+
+    def watched(self, entries, level):
+        add(self, entries, level)
+        files = spark.read.parquet(self.runs[-1].path).withColumn("f", F.input_file_name()).collect()
+        for name in {r.f for r in files}:
+            digests = [bytes(r.digest) for r in files if r.f == name]
+            assert digests == sorted(digests)
+        seen.append((level, self.runs[-1].rows, len(self.runs), self))
+
+    monkeypatch.setattr(DigestIndex, "_add", watched)
+    assert exact_dedup.op6_exact_dedup(spark, "/root/testdata/sf0.001").count() == 200
+    assert [level for level, *_ in seen] == [0, 0, 1, 0, 0, 1, 2]
+    assert seen[-1][3].compactions == 3 and all(rows > 0 for _, rows, *_ in seen) and seen[-1][2] == 1
+
+
+def test_filters_hold_what_they_were_built_from(spark):
+    entries = spark.range(5000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    bitmaps, blocks = exact_dedup.build_filter(entries, 5000)
+    others = spark.range(5000, 25000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    assert blocks == 3 and exact_dedup.may_hold(entries, bitmaps, blocks).count() == 5000
+    assert exact_dedup.may_hold(others, bitmaps, blocks).count() < 0.02 * 20000
+
+
+def test_many_sources_are_ranked_in_order(spark):
+    names = [f"host{i:05d}" for i in range(3000)] + [None, "Z", "a", "é"]
+    got = ranked(spark.createDataFrame([(n,) for n in names], "source string").repartition(7)).collect()
+    order = sorted((n for n in names if n is not None)) + [None]
+    assert [r.source for r in sorted(got, key=lambda r: r["rank"])] == order and [r["rank"] for r in sorted(got, key=lambda r: r["rank"])] == list(range(len(names)))
+
+
+def test_ids_may_be_names(spark):
+    named = spark.createDataFrame([(None if i is None else f"n{i}", t, "en", s, 0) for i, t, s in DEDUP], SCHEMA.replace("doc_id long", "doc_id string"))
+    fold = lambda t: (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    for r in exact_groups(named).collect():
+        assert r.keep_id == max((f"n{i}" for i, t, _ in DEDUP if i is not None and fold(t) == fold(r.text)), default=None)
+    assert mix(named).count() == shards(named).count() == len(DEDUP)
+
+
 def brute(rows):
     groups = defaultdict(list)
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
