@@ -41,12 +41,12 @@ GRAMS = 96
 GRAM_SIZES = ((1, 1, 1), (5, 2, 1), (10, 3, 1), (20, 4, 1), (40, 5, 2), (64, 6, 2), (100, 8, 2), (400, 8, 3), (3000, 10, 2))
 FEW_GRAMS = 32
 #: Bands of near_classes: in each 64 bits of a fingerprint, NEAR_BITS from each of these places on.  Fewer bits find more
-#: pairs, and let more strangers share a bucket: n / 2^22 of n texts.  A pair is a candidate if at most UNLIKE of its 256
+#: pairs, and let more strangers share a bucket: n / 2^28 of n texts.  A pair is a candidate if at most UNLIKE of its 256
 #: bits differ, four deviations below what strangers' do.
-NEAR_BITS = 22
-BAND_STARTS = (0, 8, 16, 24, 32, 40)
+NEAR_BITS = 28
+BAND_STARTS = (0, 5, 10, 15, 20, 25, 30, 36)
 UNLIKE, ALIKE = 96, 48
-PAIRS_PER_TASK = 4096
+PAIRS_PER_TASK = 256
 NONE = np.uint32(0xFFFFFFFF)
 #: A walk leaves white space at a multiple of so many steps.
 STRIDE = 16

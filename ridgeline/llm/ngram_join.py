@@ -13,8 +13,8 @@
    of the differences of shingle counts between pivots bound the difference of two sets), and are verified once, exactly.
    Their components are found.
 5. What is left are entries of one posting list in different components.  The entries outside of the list's largest
-   component meet all others of the list in one join on the shingle, which adaptive execution can split.  All such pairs
-   that pass the three filters and were not verified before are verified, so no link between different texts is lost.
+   component meet all others of the list, a block of the one with a block of the other in a task.  All such pairs that
+   pass the three filters and were not verified before are verified, so no link between different texts is lost.
 
 Classes go by 64 bits of a 128-bit digest of their sets.  Digests that share them, about n^2 / 2^65 of n, get new names.
 """
@@ -43,6 +43,8 @@ LOW = 0xFFFFFFFF
 #: A worker skips the postings of so many sets that it has just given; copies in one task then count once.
 SEEN_SETS = 200_000
 CLASS_BITS = 64
+#: So many entries of a posting list, at most, meet in one task what is left of the list.
+BLOCK_ENTRIES = 4096
 
 
 def _text(value: pa.Scalar) -> bytes:
@@ -237,18 +239,65 @@ def _room(n1, profile1: np.ndarray, n2, profile2: np.ndarray, percent: int):
 
 
 def _across(lists: DataFrame, component: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one posting list in different components that pass the length and positional filters; ``component``: c,
-    comp.  Lists within one component are left out by an aggregate; in the others, entries outside of the component that
-    has most of the list meet all entries of other components, each pair once."""
+    """Pairs of one posting list in different components that pass all three filters; ``component``: c, comp, profile.
+
+    Lists within one component are left out by an aggregate; in the others, entries outside of the component that has most
+    of the list ask, and meet all entries of other components, each pair once.  Askers and entries of a long list are cut
+    into blocks, and each two blocks meet in a task of their own, so no task holds a whole list."""
     named = written(lists.select("token", "at", "cls").distinct().join(component, F.col("cls") == F.col("c")).select("token", "at", "cls", "comp"), "named")
     mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select(F.col("token").alias("t"))
     active = written(named.join(mixed, F.col("token") == F.col("t")).drop("t"), "active")
     drop_written(named)
-    most = active.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("token").alias("t")).agg(F.max_by("comp", F.struct("n", "comp")).alias("major"))
-    asks = written(active.join(most, F.col("token") == F.col("t")).filter("comp != major").select(F.col("t"), F.col("at").alias("at2"), F.col("cls").alias("cls2"), F.col("comp").alias("comp2"), "major"), "asks")
-    once = (F.col("comp") == F.col("major")) | (F.col("cls") > F.col("cls2"))
-    met = active.join(asks, (F.col("token") == F.col("t")) & (F.col("comp") != F.col("comp2")) & once & _passes("at", "at2", percent))
-    return met.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).distinct()
+    counts = active.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("token").alias("t"))
+    counts = counts.agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK_ENTRIES)).cast("bigint")
+    counts = written(counts.select("t", "major", blocks(F.col("n")).alias("k"), F.greatest(F.lit(1), blocks(F.col("n") - F.col("most"))).alias("ka")), "list-counts")
+    profiles = component.select(F.col("c").alias("pc"), "profile")
+    known = written(active.join(counts, F.col("token") == F.col("t")).join(profiles, F.col("cls") == F.col("pc")).drop("t", "pc"), "active")
+    drop_written(active)
+    own = F.xxhash64("cls")
+    count_to = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    there = known.withColumns({"asks": F.lit(False), "j": F.pmod(own, F.col("k"))}).withColumn("i", count_to("ka"))
+    asking = known.filter("comp != major").withColumns({"asks": F.lit(True), "i": F.pmod(own, F.col("ka"))}).withColumn("j", count_to("k"))
+    names = ["token", "i", "j", "asks", "at", "cls", "comp", "major", "profile"]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, i, j, asks, at, cls, comp, major, profiles in _groups(batches):
+            n, p = at & LOW, at >> 32
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            edges = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True]]))
+            for a, b in zip(edges[:-1], edges[1:]):
+                first = a + int(np.searchsorted(~asks[a:b], True))  # askers come first
+                m = slice(first, b)
+                for x in range(a, first):
+                    ok = (comp[m] != comp[x]) & passes(n[m], p[m], n[x], p[x], percent) & ((comp[m] == major[x]) | (cls[m] > cls[x]))
+                    y = np.flatnonzero(ok) + first
+                    y = y[_room(n[y], profiles[y], n[x], profiles[x], percent)]
+                    found.append((cls[y], np.full(len(y), cls[x])))
+            x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = asking.select(*names).unionByName(there.select(*names)).repartition(n, "token", "i", "j")
+    return both.sortWithinPartitions("token", "i", "j", F.col("asks").desc()).mapInArrow(meet, "a bigint, b bigint").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Batches of whole groups of equal first three columns; the last column holds profiles."""
+    carry = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(8)] + [_profiles(batch.column(8))]
+        if carry is not None:
+            now = [np.concatenate(x) for x in zip(carry, now)]
+        last = (now[0] == now[0][-1]) & (now[1] == now[1][-1]) & (now[2] == now[2][-1])
+        cut = len(last) - int(np.argmin(last[::-1])) if not last.all() else 0
+        carry = [x[cut:] for x in now]
+        if cut:
+            yield [x[:cut] for x in now]
+    if carry is not None:
+        yield carry
 
 
 def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -312,8 +361,8 @@ def near_members(base: DataFrame, id_col: str, text_col: str, ngram: int = NGRAM
     links = written(_verified(close, texts, ngram, percent), "links")
     found = written(components(links), "components")
 
-    named = classes.join(found, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("component", "cls").alias("comp"))
-    rest = written(_close(_across(lists, named, percent).join(pairs, ["a", "b"], "left_anti"), classes, percent), "pairs")
+    named = classes.join(found, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("component", "cls").alias("comp"), "profile")
+    rest = written(_across(lists, named, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = written(_verified(rest, texts, ngram, percent), "links")
     if not more.isEmpty():
         found = written(components(links.unionByName(more)), "components")

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from ridgeline.llm import ngram_join
 from ridgeline.llm.components import components
 from ridgeline.llm.ngram_join import least_overlap, near_groups, overlap_needed, one_of_each_group
 from ridgeline.llm.shingles import shingle_set, word_hashes
@@ -69,6 +70,13 @@ def test_near_groups(spark, seed):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for *_, c in brute_groups(rows)})
 
 
+def test_near_groups_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_ENTRIES", 3)
+    rows = corpus(2)
+    got = near_groups(spark.createDataFrame(rows, SCHEMA).repartition(9))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == sorted(brute_groups(rows))
+
+
 def test_near_groups_with_colliding_class_names(spark):
     rows = corpus(1)
     got = near_groups(spark.createDataFrame(rows, SCHEMA), class_bits=3)
