@@ -144,7 +144,8 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     a source.  All columns pass, with ``n_chars`` (if there) of the text as it is after the cut."""
     rows = with_row_key(docs, "doc_id")
     plan = plan_mix(rows).filter("taken > 0").select(F.col("row").alias("__planned"), F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"))
-    taken = rows.join(written(plan, "mix-plan"), F.col("__row") == F.col("__planned"))
+    # The plan has a row a document, so it is no table to broadcast, however small the input.
+    taken = rows.join(written(plan, "mix-plan").hint("merge"), F.col("__row") == F.col("__planned"))
     taken = taken.withColumn("__copy", F.explode(F.expr("filter(sequence(0, __epochs), i -> i < __epochs OR __cut > 0)")))
     part = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, F.greatest(F.col("__cut"), F.lit(1)).cast("int")))
     partial = F.col("__copy") == F.col("__epochs")
