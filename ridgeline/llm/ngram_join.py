@@ -21,6 +21,7 @@ Classes go by 64 bits of a 128-bit digest of their sets.  Digests that share the
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,16 +132,17 @@ def _renamed(classes: DataFrame, class_bits: int) -> dict[bytes, int]:
     first: dict[int, bytes] = {}
     for r in odd:
         first[r.cls] = min(first.get(r.cls, bytes(r.digest)), bytes(r.digest))
-    names: dict[bytes, int] = {}
-    for digest in sorted(bytes(r.digest) for r in odd if bytes(r.digest) != first[r.cls]):
-        salt = 1
-        while (name := xxhash.xxh3_64_intdigest(digest, salt) - (1 << 63)) in names.values():
-            salt += 1
-        names[digest] = name
-    taken = classes.filter(F.col("cls").isin(*names.values())).select("cls").collect() if names else []
-    if taken:
-        raise RuntimeError("a new name is taken")  # needs n of 2^64 twice over for one of so few names
-    return names
+    salts = {bytes(r.digest): 1 for r in odd if bytes(r.digest) != first[r.cls]}
+    while True:
+        names = {digest: xxhash.xxh3_64_intdigest(digest, salt) - (1 << 63) for digest, salt in salts.items()}
+        uses = Counter(names.values())
+        if names:
+            uses.update(r.cls for r in classes.filter(F.col("cls").isin(*names.values())).select("cls").collect())
+        again = [digest for digest, name in names.items() if uses[name] > 1]
+        if not again:
+            return names
+        for digest in again:
+            salts[digest] += 1
 
 
 def _bucket_counts(chunks: DataFrame) -> np.ndarray:

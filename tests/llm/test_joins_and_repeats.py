@@ -83,6 +83,15 @@ def test_near_groups_with_colliding_class_names(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == sorted(brute_groups(rows))
 
 
+def test_class_names_that_are_taken_give_way(spark):
+    digests = [bytes([k]) * 16 for k in range(1, 5)]
+    name = lambda digest, salt: ngram_join.xxhash.xxh3_64_intdigest(digest, salt) - (1 << 63)
+    rows = [(digests[0], 5), (digests[1], 5), (digests[2], name(digests[1], 1)), (digests[3], name(digests[1], 2))]
+    classes = spark.createDataFrame([(bytearray(d), c) for d, c in rows], "digest binary, cls long")
+    assert ngram_join._renamed(classes, 64) == {digests[1]: name(digests[1], 3)}
+    assert ngram_join._renamed(classes.filter("cls != 5"), 64) == {}
+
+
 def test_ids_may_be_names(spark):
     rows = corpus(2)[:50]
     named = spark.createDataFrame([(f"n{i:04d}", *rest) for i, *rest in rows], SCHEMA.replace("doc_id long", "doc_id string"))
