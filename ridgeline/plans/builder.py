@@ -33,6 +33,14 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).count().filter("count > 1")
 
 
+def _cancelling(nodes: Mapping[str, Node]) -> set[str]:
+    """Returns whose mean is a divisor.  Where a price comes back to its old value their sum is rounding alone, so that the
+    last bits of the logarithms decide how much is added to ``eps``."""
+    below = [nodes.get(n.inputs["b"].of) for n in nodes.values() if n.op in ("ratio", "abs_ratio", "rdiff") and n.inputs["b"].kind == "node"]
+    sums = [nodes.get(m.inputs["x"].of) for m in below if m is not None and m.op == "ts_mean" and m.inputs["x"].kind == "node"]
+    return {r.id for r in sums if r is not None and r.op == "ts_return"}
+
+
 def _lower(nodes: list[Node], b: Backend, columns: Iterable[str], built: Mapping[str, str], eps: float, benchmarks: Iterable[str], kernel) -> dict[str, str]:
     """Run every node against ``b``; give the column of each identity, those built before included."""
     columns = set(columns)
@@ -47,9 +55,12 @@ def _lower(nodes: list[Node], b: Backend, columns: Iterable[str], built: Mapping
             raise ValueError(f"no column {arg.of!r}; there are {sorted(columns)}")
         return values[arg.of] if arg.of in values else Val(b, b.column(arg.of))
 
-    for n in in_order(merged(nodes), set(built)):
+    graph = merged(nodes)
+    cancelling = _cancelling(graph)
+    for n in in_order(graph, set(built)):
         if n.id in built:
             continue
+        b.exact = n.id in cancelling
         inputs = {k: resolve(v) for k, v in n.inputs.items()}
         if n.op in SMOOTHED:
             alpha, width = SMOOTHED[n.op]

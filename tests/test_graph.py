@@ -1,12 +1,13 @@
 """Identity, names, order, transforms, templates, plans."""
 
+import math
 import random
 
 import pytest
 
 from ridgeline.functions.families import FAMILIES, RETURN_FAMILY, TRUE_RANGE_EXTRAS, parameters
 from ridgeline.functions.grid import Grid, decode_key, encode_key, expand
-from ridgeline.plans.builder import FactorBuilder
+from ridgeline.plans.builder import FactorBuilder, to_sql
 from ridgeline.plans.chunks import build_in_chunks, history_rows
 from ridgeline.plans.nodes import Arg, Label, Node, column_names, in_order, merged, node
 from ridgeline.plans.transforms import add_ts_zscore, select_target, to_zscore
@@ -108,6 +109,25 @@ def test_one_exchange_for_all_trailing_windows(small):
     assert "ArrowEval" not in plan and "MapInPandas" not in plan
 
 
+def test_return_ratio_agrees_with_its_sql_where_prices_come_back(spark):
+    """Prices of period 10: returns over 10 rows add up to rounding alone, which counts beside eps."""
+    import duckdb
+
+    rng = random.Random(3)
+    prices = {s: [round(rng.uniform(1, 90), 2) for _ in range(10)] for s in range(20)}
+    rows = [(s, i, prices[s][i % 10]) for s in prices for i in range(40)]
+    nodes = expand(RETURN_FAMILY["RETURN_RATIO"], {"lookback": [1, 2], "window": [10]}, price_col="p")
+    got = FactorBuilder(spark.createDataFrame(rows, "symbol long, date int, p double")).build_published(nodes).orderBy("symbol", "date").collect()
+    with duckdb.connect() as con:
+        con.execute("CREATE TABLE px (symbol BIGINT, date INT, p DOUBLE)")
+        con.executemany("INSERT INTO px VALUES (?, ?, ?)", rows)
+        want = con.execute(to_sql(nodes, "SELECT * FROM px", columns=["p"], digits=3) + " ORDER BY symbol, date").fetchall()
+    for a, b in zip(got, want, strict=True):
+        assert tuple(a)[:2] == b[:2] and [v is None for v in a] == [v is None for v in b]
+        assert all(v is None or math.isclose(v, w, rel_tol=1e-9, abs_tol=2e-3) for v, w in zip(a, b))
+    assert sum(b[2] is not None and abs(b[2]) > 1e9 for b in want) > 400
+
+
 def test_builder_remembers_what_it_built(small):
     b = FactorBuilder(small)
     base = FAMILIES["price"]["DISTANCE_FROM_MOVING_AVERAGE_PRICE"]("p", 5)
