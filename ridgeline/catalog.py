@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.families import FAMILIES, TRUE_RANGE_EXTRAS
@@ -26,13 +26,20 @@ PANELS = {
 MARKET = "event"
 
 
+def nearest(c: Column, digits: int) -> Column:
+    """``c`` rounded as the SQL does: its product with 10^digits to the next whole number, halves away from zero.  F.round
+    goes by the decimal digits, which gives another result where a value ends in 5 there but its product is just beside."""
+    scaled = c * 10.0**digits
+    return F.when(F.abs(scaled) == float("inf"), c).otherwise(F.round(scaled, 0) / 10.0**digits)
+
+
 def rounded(df: DataFrame, *keys: str, digits: int = 6) -> DataFrame:
     """Doubles rounded, without negative zeros, and days as text, for comparison between engines."""
 
     def shown(name: str, kind: str):
         c = F.col(f"`{name}`")
         if kind == "double" and name not in keys:
-            return (F.round(c, digits) + F.lit(0.0)).alias(name)
+            return (nearest(c, digits) + F.lit(0.0)).alias(name)
         return c.cast("string").alias(name) if kind == "date" else c
 
     return df.select(*(shown(n, t) for n, t in df.dtypes))

@@ -231,3 +231,17 @@ def test_streaming_bars(spark, tmp_path):
     q = ingest.bars(spark.readStream.schema(events.schema).parquet(f"{tmp_path}/e"), "s", "t", "v").writeStream.format("memory").queryName("bars_out").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert [(r.high, r.low, r.close, r.volume) for r in spark.table("bars_out").collect()] == [(5.0, 1.0, 3.0, 2.0)] * 2
+
+
+def test_rounding_is_that_of_the_sql(spark):
+    """Values that end in 5 as text, and large ones, at the digits that queries use."""
+    import duckdb
+
+    from ridgeline.catalog import rounded
+
+    values = [36442.825, 49098.035, 6121.225, 9580.095, 1.005, -1.005, 0.125, -2.5e-7, 1294739233248.3364, 1e308, -1e308, None, *(k / 1000 for k in range(-20005, 20005, 10))]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    with duckdb.connect() as con:
+        for digits in (2, 3, 5, 6, 8):
+            want = con.execute(f"SELECT round(v, {digits}) + 0.0 FROM (SELECT unnest($1::DOUBLE[]) AS v)", [values]).fetchall()
+            assert [r.v for r in rounded(df, digits=digits).collect()] == [v for v, in want]
